@@ -310,7 +310,7 @@ def split_all_tasks(spark, sf_dir):
 @query
 def nb_fit(spark, sf_dir):
     model = fit_nb(labelled_tokens(spark, sf_dir), "hatespeech")
-    return rounded(model.weights.withColumn("prior", F.lit(model.prior)), "weight", "prior")
+    return rounded(model.weights.withColumn("prior", F.lit(model.prior)), "weight", "prior").drop("n")
 
 
 @query
@@ -329,9 +329,9 @@ def nb_score_per_token(spark, sf_dir):
 
 @query
 def nb_score_join(spark, sf_dir):
-    """The way for models too large to broadcast."""
+    """The way for models too large to broadcast: here a thousand tokens are."""
     model = fit_nb(labelled_tokens(spark, sf_dir), "hatespeech")
-    scored = score_nb(P.with_tokens(posts(spark, sf_dir)), model, how="join")
+    scored = score_nb(P.with_tokens(posts(spark, sf_dir)), model, broadcast_tokens=1000)
     return rounded(scored.select("doc_id", "log_odds", "prediction", "probability"), "log_odds", "probability")
 
 
@@ -383,7 +383,7 @@ def fit_task_saved(spark, sf_dir):
     folder = fresh_path(spark, "models")
     fit_task(labelled(spark, sf_dir), "nb", label="spam", folder=folder, task="spam")
     model = load_model(folder, "spam", spark)
-    return rounded(model.weights.withColumn("prior", F.lit(model.prior)), "weight", "prior")
+    return rounded(model.weights.withColumn("prior", F.lit(model.prior)), "weight", "prior").drop("n")
 
 
 @query
@@ -391,7 +391,7 @@ def fit_all_tasks(spark, sf_dir):
     rows = labelled_tokens(spark, sf_dir)
     frames = {t: rows.select("data", "tokens", F.col(t).alias("label")) for t in ("spam", "hatespeech", "selfharm")}
     models = fit_all(frames, {t: "nb" for t in frames})
-    made = [m.weights.withColumn("task", F.lit(t)) for t, m in models.items()]
+    made = [m.weights.drop("n").withColumn("task", F.lit(t)) for t, m in models.items()]
     return rounded(R.concat(*made), "weight")
 
 

@@ -207,8 +207,6 @@ SENTIMENT = {word: float(weight) for word, weight in pairs(SENTIMENT_TEXT)}
 # Latin and everything beyond the basic plane (emoji, styled letters) are
 # deleted; Latin text, digits and apostrophes are kept.
 
-ASCII_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
 ISOLATE_BLOCKS = [
     (0x00A1, 0x00A5), (0x00A7, 0x00A9), (0x00AB, 0x00AC), (0x00AE, 0x00BF),
     (0x00D7, 0x00D7), (0x00F7, 0x00F7),  # Latin-1 signs

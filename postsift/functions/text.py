@@ -6,13 +6,10 @@ uses it stays in the JVM, needs no shuffle and runs on streams as well.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postsift.functions.tables import (
-    ASCII_PUNCTUATION,
     CONTRACTIONS,
     DELETE_RANGES,
     ISOLATE_RANGES,
@@ -38,12 +35,6 @@ def _escaped(symbols: str) -> str:
     return "".join("\\" + ch if ch in "\\[]^-&" else ch for ch in symbols)
 
 
-def _words_pattern(words) -> str:
-    """Words with an apostrophe, and those of the given words without one."""
-    bare = "|".join(re.escape(w) for w in words if "'" not in w)
-    return rf" ([a-z]*'[a-z']*|{bare})(?= )" if bare else r" ([a-z]*'[a-z']*)(?= )"
-
-
 def lower_case(c: Column | str) -> Column:
     return F.lower(_as_column(c))
 
@@ -51,30 +42,21 @@ def lower_case(c: Column | str) -> Column:
 def expand_contractions(c: Column | str, table=CONTRACTIONS) -> Column:
     """Replace each ``' key '`` by ``' value '``; both spaces must be there.
 
-    One regex pass finds which keys a text may hold, so only those few are
+    Which keys a text may hold is told by its words, so only those few are
     replaced and most texts take no replacement at all. A key that follows
     itself with one shared space is replaced every other time, as a literal
-    replacement does.
+    replacement does. No value may hold a key, so the order does not matter.
     """
-    keys = [k for k, _ in table]
-    lookup = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in table])
+    keys = F.split(F.lit("\n".join(k for k, _ in table)), "\n")  # folded to a constant
+    values = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in table)), F.lit("\n"), F.lit("\t"))
 
     def expand(text: Column) -> Column:
-        candidates = F.regexp_extract_all(text, F.lit(_words_pattern(keys)), F.lit(1))
-        return _let(
-            candidates,
-            lambda found: F.aggregate(
-                F.when(F.size(found) == 0, F.array_repeat(lookup[0], 0)).otherwise(
-                    F.filter(lookup, lambda p: F.array_contains(found, p["k"]))
-                ),
-                text,
-                lambda acc, p: F.replace(
-                    acc,
-                    F.concat(F.lit(" "), p["k"], F.lit(" ")),
-                    F.concat(F.lit(" "), p["v"], F.lit(" ")),
-                ),
-            ),
-        )
+        present = F.array_intersect(F.split(text, " "), keys)
+
+        def padded(word: Column) -> Column:
+            return F.concat(F.lit(" "), word, F.lit(" "))
+
+        return F.aggregate(present, text, lambda acc, k: F.replace(acc, padded(k), padded(values[k])))
 
     return _let(_as_column(c), expand)
 
@@ -84,15 +66,19 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _by_range(c: Column | str, rare, plain) -> Column:
+    """``rare`` for texts with code points that the plain classes lack."""
+    return _let(_as_column(c), lambda text: F.when(text.rlike(_RARE), rare(text)).otherwise(plain(text)))
+
+
 def delete_symbols(c: Column | str, symbols: str | None = None) -> Column:
     """Turn unwanted code points into a space each: by rule, or those given."""
     if symbols is not None:
         return F.translate(_as_column(c), symbols, " " * len(symbols))
-    return _let(
-        _as_column(c),
-        lambda text: F.when(
-            text.rlike(_RARE), F.regexp_replace(text, _DELETE_ANY, " ")
-        ).otherwise(F.regexp_replace(text, _DELETE_ASCII, " ")),
+    return _by_range(
+        c,
+        lambda text: F.regexp_replace(text, _DELETE_ANY, " "),
+        lambda text: F.regexp_replace(text, _DELETE_ASCII, " "),
     )
 
 
@@ -100,11 +86,19 @@ def isolate_symbols(c: Column | str, symbols: str | None = None) -> Column:
     """Put a space on both sides of signs: by rule, or of those given."""
     if symbols is not None:
         return F.regexp_replace(_as_column(c), f"[{_escaped(symbols)}]", " $0 ")
-    return _let(
-        _as_column(c),
-        lambda text: F.when(
-            text.rlike(_RARE), F.regexp_replace(text, _ISOLATE_ANY, " $0 ")
-        ).otherwise(F.regexp_replace(text, _ISOLATE_ASCII, " $0 ")),
+    return _by_range(
+        c,
+        lambda text: F.regexp_replace(text, _ISOLATE_ANY, " $0 "),
+        lambda text: F.regexp_replace(text, _ISOLATE_ASCII, " $0 "),
+    )
+
+
+def _space_symbols(c: Column) -> Column:
+    """Delete and isolate by rule, with one look at what the text holds."""
+    return _by_range(
+        c,
+        lambda text: F.regexp_replace(F.regexp_replace(text, _DELETE_ANY, " "), _ISOLATE_ANY, " $0 "),
+        lambda text: F.regexp_replace(F.regexp_replace(text, _DELETE_ASCII, " "), _ISOLATE_ASCII, " $0 "),
     )
 
 
@@ -115,12 +109,24 @@ def collapse_spaces(c: Column | str) -> Column:
 
 def strip_edge_quotes(c: Column | str) -> Column:
     """Drop a leading quote, and a trailing quote with the character before it."""
-    led = F.regexp_replace(_as_column(c), "^['\"]", "")
-    return F.regexp_replace(led, r"(?s).?['\"]\z", "")
+
+    def quoted(text: Column, at_edge) -> Column:
+        return at_edge(text, "'") | at_edge(text, '"')
+
+    def lead(text: Column) -> Column:
+        return F.when(quoted(text, Column.startswith), F.substring(text, 2, 2**31 - 1)).otherwise(text)
+
+    def trail(text: Column) -> Column:
+        shorter = F.substring(text, F.lit(1), F.length(text) - 2)
+        return F.when(quoted(text, Column.endswith), shorter).otherwise(text)
+
+    return _let(_let(_as_column(c), lead), trail)
 
 
 def blank_backslashes(c: Column | str) -> Column:
-    return F.translate(_as_column(c), "\\\n", "  ")
+    """Backslashes and left-over newlines to a space each."""
+    once = F.replace(_as_column(c), F.lit("\\"), F.lit(" "))
+    return F.replace(once, F.lit("\n"), F.lit(" "))
 
 
 def demask(c: Column | str, table=MASKED_WORDS) -> Column:
@@ -147,8 +153,10 @@ def normalize_text(
     if demask_first:
         text = demask(text)
     text = expand_contractions(text, contractions)
-    text = delete_symbols(text, delete)
-    text = isolate_symbols(text, isolate)
+    if delete is None and isolate is None:
+        text = _space_symbols(text)
+    else:
+        text = isolate_symbols(delete_symbols(text, delete), isolate)
     text = collapse_spaces(text)
     text = strip_edge_quotes(text)
     return blank_backslashes(text)
@@ -160,8 +168,11 @@ def tokenize(c: Column | str, min_len: int = 2, normalized: bool = False) -> Col
     ``normalized`` says that the text went through :func:`normalize_text`
     before, which need not be done twice.
     """
-    text = _as_column(c) if normalized else normalize_text(c)
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda t: F.length(t) >= min_len)
+    if normalized:
+        words = F.split(F.lower(_as_column(c)), r"\s+")
+    else:
+        words = F.split(normalize_text(c), " ")  # lower-case, no other blanks
+    return F.filter(words, lambda t: F.length(t) >= min_len)
 
 
 def cap_tokens(tokens: Column | str, max_len: int) -> Column:

@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.scores import log_odds_confidence, log_odds_prediction
+from postsift.operators.rows import compute_once
 from postsift.sources.durable import durable
 
-# Bounds within which a model goes to every executor. Beyond them the tokens
-# are joined with the table instead.
+# Bounds of what goes to every executor. Of a larger model that is the part
+# with the most frequent tokens, and the other tokens are joined.
 BROADCAST_TOKENS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32  # parts into which each token is split in the join
@@ -35,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    weights: DataFrame  # token, weight
+    weights: DataFrame  # token, weight, n: how often it was seen
     prior: float
 
 
@@ -79,7 +80,7 @@ def _model(counts: DataFrame, task: str) -> NaiveBayes:
     weight = F.log((n1 + 1) / F.lit((sums["t1"] or 0) + sums["v"])) - F.log(
         (n0 + 1) / F.lit((sums["t0"] or 0) + sums["v"])
     )
-    weights = counts.where(used).select("token", weight.alias("weight"))
+    weights = counts.where(used).select("token", weight.alias("weight"), (n0 + n1).alias("n"))
     return NaiveBayes(weights, math.log(sums["d1"] / sums["d0"]))
 
 
@@ -89,101 +90,138 @@ def fit_nb(df: DataFrame, label: str = "label", tokens: Column | str = "tokens")
 
 def _wide(models: Mapping[str, NaiveBayes]) -> DataFrame:
     """All weights by token, zero where a task does not know the token."""
-    tables = [m.weights.select("token", F.col("weight").alias(task)) for task, m in models.items()]
-    joined = reduce(lambda a, b: a.join(b, "token", "full"), tables)
-    return joined.na.fill(0.0, list(models))
+    tables = [
+        m.weights.select("token", F.col("weight").alias(task), F.col("n").alias(f"{task}_n"))
+        for task, m in models.items()
+    ]
+    joined = reduce(lambda a, b: a.join(b, "token", "full"), tables).na.fill(0.0, list(models))
+    seen = [F.coalesce(f"{task}_n", F.lit(0)) for task in models]
+    return joined.select("token", *models, reduce(Column.__add__, seen).alias("n"))
 
 
-def _fits_broadcast(wide: DataFrame, tasks: int) -> bool:
-    size = wide.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token")).alias("bytes")).first()
-    total = (size["bytes"] or 0) + 8 * tasks * size["n"]
-    return size["n"] <= BROADCAST_TOKENS and total <= BROADCAST_BYTES
+def _split_by_frequency(wide: DataFrame, tasks: int, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The most frequent tokens, within the bounds, and the others if any.
 
-
-def log_odds(df: DataFrame, models: Mapping[str, NaiveBayes], tokens: str = "tokens", how: str = "auto") -> DataFrame:
+    Tokens are counted by the power of two that their frequency has; powers
+    are taken from the top for as long as they fit.
+    """
+    level = F.floor(F.log2(F.greatest("n", F.lit(1)))).cast("int")
+    size = F.sum(F.octet_length("token") + 8 * tasks)
+    levels = wide.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"))
+    tokens = held = 0
+    lowest = 64
+    for row in sorted(levels.collect(), key=lambda r: -r["level"]):  # at most 64 rows
+        tokens, held = tokens + row["n"], held + row["bytes"]
+        if tokens > most or held > BROADCAST_BYTES:
+            return wide.where(level >= lowest), wide.where(level < lowest)
+        lowest = row["level"]
+    return wide, None
+
+
+def log_odds(
+    df: DataFrame, models: Mapping[str, NaiveBayes], tokens: str = "tokens", broadcast_tokens: int = BROADCAST_TOKENS
+) -> DataFrame:
     """Add ``<task>_log_odds`` for every model, in one pass over the tokens.
 
-    A model of proven size is broadcast and the sums are a projection: no row
-    is shuffled and rows need no key. A larger one is joined with the tokens.
-    ``how`` can ask for 'broadcast' or 'join'.
+    Models of proven size are broadcast and the sums are a projection: no row
+    is shuffled and rows need no key. Of larger ones the frequent tokens,
+    which make up nearly all of a text, are summed like that, and only the
+    tokens that are left over go through a join.
     """
-    wide = _wide(models)
-    if how == "auto":
-        how = "broadcast" if _fits_broadcast(wide, len(models)) else "join"
-    if how == "join" and df.isStreaming:
+    tasks = list(models)
+    hot, cold = _split_by_frequency(_wide(models), len(tasks), broadcast_tokens)
+    if cold is None:
+        summed = df.withColumn("__sums", _summed_weights(hot, tasks, rest=False)(F.col(tokens)))
+        sums = {t: F.col("__sums")[i] for i, t in enumerate(tasks)}
+    elif df.isStreaming:
         raise ValueError("the model is too large to score a stream with; use foreachBatch")
-    if how == "broadcast":
-        sums = _summed_weights(wide, list(models))(F.col(tokens))
-        summed = df.withColumn("__sums", sums)
-        parts = {t: F.when(F.col(tokens).isNotNull(), F.col("__sums")[i]) for i, t in enumerate(models)}
-    elif how == "join":
-        summed = _joined_weights(df, wide, list(models), tokens)
-        parts = {t: F.when(F.col(tokens).isNotNull(), F.coalesce(F.col("__sums")[t], F.lit(0.0))) for t in models}
     else:
-        raise ValueError(f"unknown way to score: {how!r}")
-    return summed.withColumns({f"{t}_log_odds": part + models[t].prior for t, part in parts.items()}).drop("__sums")
-
-
-def _summed_weights(wide: DataFrame, tasks: list[str]):
-    table = wide.toArrow()  # within the bounds checked above
-    vocabulary = table["token"].combine_chunks()
-    weights = np.array([table[t].to_numpy() for t in tasks] or [[]], dtype=float)
-    unknown = np.zeros((len(tasks), 1))
-    shared = wide.sparkSession.sparkContext.broadcast((vocabulary, np.hstack([weights, unknown])))
-
-    @F.arrow_udf("array<double>")
+        first = df.withColumn("__hot", _summed_weights(hot, tasks, rest=True)(F.col(tokens)))
+        summed = _joined_weights(first, cold, tasks, tokens)
+        sums = {
+            t: F.col("__hot.sums")[i] + F.coalesce(F.col("__sums")[t], F.lit(0.0)) for i, t in enumerate(tasks)
+        }
+    known = F.col(tokens).isNotNull()
+    odds = {f"{t}_log_odds": F.when(known, sums[t] + models[t].prior) for t in tasks}
+    return summed.withColumns(odds).drop("__sums", "__hot")
+
+
+def _summed_weights(table: DataFrame, tasks: list[str], rest: bool):
+    """An Arrow function from tokens to sums, and to the tokens not summed."""
+    held = table.select("token", *tasks).toArrow()  # within the bounds checked before
+    vocabulary = held["token"].combine_chunks()
+    weights = np.stack([held[t].to_numpy() for t in tasks]).astype(float)
+    shared = table.sparkSession.sparkContext.broadcast((vocabulary, weights))
+    result = "sums array<double>, rest array<string>" if rest else "array<double>"
+
+    @F.arrow_udf(result)
     def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield sum_by_list(lists, *shared.value)
+            sums, left = sum_by_list(lists, *shared.value)
+            yield pa.StructArray.from_arrays([sums, left], ["sums", "rest"]) if rest else sums
 
     return summed
 
 
-def sum_by_list(lists: pa.Array, vocabulary: pa.Array, weights: np.ndarray) -> pa.Array:
-    """For each list of tokens the sum of each row of weights."""
-    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    found = pc.fill_null(pc.index_in(lists.flatten(), value_set=vocabulary), len(vocabulary))
-    places = found.to_numpy(zero_copy_only=False)
+def sum_by_list(lists: pa.Array, vocabulary: pa.Array, weights: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """For each list of tokens the sum of each row of weights, and the tokens
+    that have none."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    found = pc.index_in(flat, value_set=vocabulary)
+    places = pc.fill_null(found, len(vocabulary)).to_numpy(zero_copy_only=False)
     filled = lengths > 0
     starts = (np.cumsum(lengths) - lengths)[filled]
+    padded = np.hstack([weights, np.zeros((len(weights), 1))])
     sums = np.zeros((len(lists), len(weights)))
-    for i, row in enumerate(weights):
-        if len(starts):
+    left = np.zeros(len(lists), dtype=np.int64)
+    if len(starts):
+        for i, row in enumerate(padded):
             sums[filled, i] = np.add.reduceat(row[places], starts)
-    offsets = np.arange(len(lists) + 1, dtype=np.int32) * len(weights)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.ravel()))
+        left[filled] = np.add.reduceat((places == len(vocabulary)).astype(np.int64), starts)
+    ends = np.arange(len(lists) + 1, dtype=np.int32) * len(weights)
+    left_ends = np.concatenate([[0], np.cumsum(left)]).astype(np.int32)
+    return (
+        pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel())),
+        pa.ListArray.from_arrays(pa.array(left_ends), flat.filter(pc.is_null(found))),
+    )
 
 
-def _joined_weights(df: DataFrame, wide: DataFrame, tasks: list[str], tokens: str) -> DataFrame:
-    """Sums by way of a join, for vocabularies of any size.
+def _joined_weights(df: DataFrame, cold: DataFrame, tasks: list[str], tokens: str) -> DataFrame:
+    """Add ``__sums`` over the tokens left over, by way of a join.
 
     Texts are told apart by their tokens, so copies are scored once and rows
-    need no key. Each token is split into salted parts, as a common one may
-    be in most texts. Where one text has many copies, adaptive execution
-    splits them in the last join: its other side has one row per text.
+    need no key. Each token is split into salted parts, in case one that was
+    rare in training is common here. Where one text has many copies, adaptive
+    execution splits them in the last join: its other side has one row per
+    text.
     """
-    keyed = df.withColumn("__text", F.sha2(F.array_join(tokens, " "), 256))
-    texts = keyed.select("__text", tokens).dropDuplicates(["__text"])
+    keyed = compute_once(df, "__text", F.unhex(F.sha2(F.array_join(tokens, " "), 256)))
+    texts = keyed.select("__text", F.col("__hot.rest").alias("rest")).dropDuplicates(["__text"])
     words = texts.select(
         "__text",
         F.pmod(F.xxhash64("__text"), F.lit(SALTS)).cast("int").alias("__salt"),
-        F.explode_outer(tokens).alias("token"),
+        F.explode("rest").alias("token"),
     )
-    salted = wide.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = cold.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     sums = words.join(salted, ["token", "__salt"]).groupBy("__text").agg(*[F.sum(t).alias(t) for t in tasks])
     nested = sums.select("__text", F.struct(*tasks).alias("__sums"))
     return keyed.join(nested, "__text", "left").drop("__text")
 
 
 def score_nb_tasks(
-    df: DataFrame, models: Mapping[str, NaiveBayes], tokens: str = "tokens", how: str = "auto", per_token: bool = False
+    df: DataFrame,
+    models: Mapping[str, NaiveBayes],
+    tokens: str = "tokens",
+    per_token: bool = False,
+    broadcast_tokens: int = BROADCAST_TOKENS,
 ) -> DataFrame:
     """Add ``<task>_log_odds``, ``<task>_pred`` and ``<task>_prob``.
 
     Long texts drive the confidence to one; ``per_token`` divides the
     log-odds by the number of tokens.
     """
-    scored = log_odds(df, models, tokens, how)
+    scored = log_odds(df, models, tokens, broadcast_tokens)
     if per_token:
         size = F.greatest(F.size(tokens), F.lit(1))
         scored = scored.withColumns({f"{t}_log_odds": F.col(f"{t}_log_odds") / size for t in models})
@@ -194,9 +232,15 @@ def score_nb_tasks(
     return scored.withColumns(results)
 
 
-def score_nb(df: DataFrame, model: NaiveBayes, tokens: str = "tokens", how: str = "auto", per_token: bool = False) -> DataFrame:
+def score_nb(
+    df: DataFrame,
+    model: NaiveBayes,
+    tokens: str = "tokens",
+    per_token: bool = False,
+    broadcast_tokens: int = BROADCAST_TOKENS,
+) -> DataFrame:
     """Add ``log_odds``, ``prediction`` and ``probability``."""
-    scored = score_nb_tasks(df, {"__task": model}, tokens, how, per_token)
+    scored = score_nb_tasks(df, {"__task": model}, tokens, per_token, broadcast_tokens)
     return scored.withColumnsRenamed(
         {"__task_log_odds": "log_odds", "__task_pred": "prediction", "__task_prob": "probability"}
     )

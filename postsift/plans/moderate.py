@@ -17,10 +17,10 @@ from postsift.operators.scorers import score_arrow, score_sentiment
 Model = NaiveBayes | PipelineModel | Callable
 
 
-def score(df: DataFrame, model: Model, how: str = "auto") -> DataFrame:
+def score(df: DataFrame, model: Model) -> DataFrame:
     """Add ``prediction`` and ``probability`` with whatever kind of model."""
     if isinstance(model, NaiveBayes):
-        return score_nb(df, model, how=how).drop("log_odds")
+        return score_nb(df, model).drop("log_odds")
     if isinstance(model, PipelineModel):
         return score_logreg(df, model)
     if callable(model):

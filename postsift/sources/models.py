@@ -30,6 +30,6 @@ def load_model(folder: str, task: str, spark: SparkSession | None = None) -> Nai
     path = f"{folder.rstrip('/')}/{task}"
     about = spark.read.schema("kind string, prior double").parquet(f"{path}/about").first()
     if about["kind"] == "nb":
-        weights = spark.read.schema("token string, weight double").parquet(f"{path}/nb")
+        weights = spark.read.schema("token string, weight double, n bigint").parquet(f"{path}/nb")
         return NaiveBayes(weights, about["prior"])
     return PipelineModel.load(f"{path}/logreg")
