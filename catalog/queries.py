@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,9 @@ from postsift.sources import posts as IO
 from postsift.sources.durable import durable, fresh_path
 from postsift.sources.models import load_model, save_model
 
+# The scorer below goes to executors that have no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
