@@ -38,6 +38,21 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") ->
     return counts.select(F.inline(rows))
 
 
+def report(df: DataFrame, preds: tuple[str, ...], label: str = "label") -> DataFrame:
+    """Accuracy and the four counts for several predictions in one pass, such
+    as those of the self-harm classifier and of its ensemble."""
+    cells = [(t, p) for t in (0, 1) for p in (0, 1)]
+    rows = [
+        F.struct(
+            F.lit(pred).alias("pred"),
+            F.avg((F.col(label) == F.col(pred)).cast("double")).alias("accuracy"),
+            *[F.count_if((F.col(label) == t) & (F.col(pred) == p)).alias(f"n_{t}{p}") for t, p in cells],
+        )
+        for pred in preds
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def row_counts(df: DataFrame, stage: str) -> DataFrame:
     """Number of rows at a stage, by the values of the column ``stage``."""
     return df.groupBy(stage).agg(F.count(F.lit(1)).alias("n"))

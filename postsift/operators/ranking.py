@@ -108,14 +108,18 @@ def mark_first(
     orders: Sequence[Column],
     label: str = "label",
     into: str = "taken",
+    sizes: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Add a boolean: is the row among the first ``quotas[class]`` of its class.
 
     The first of ``orders`` decides, the next one among rows with equal keys,
     and rows that agree in all of them are taken as copies of each other, of
     which the right number is marked. Rows of other classes are not marked.
+    ``sizes`` are the sizes of the classes, where they are known already.
     """
-    sizes = {r[label]: r["n"] for r in class_counts(df.where(F.col(label).isin(*quotas)), label).collect()}
+    if sizes is None:
+        known = df.where(F.col(label).isin(*quotas))
+        sizes = {r[label]: r["n"] for r in class_counts(known, label).collect()}  # a row per class
     return _mark(df, dict(quotas), sizes, list(orders), label, into)
 
 

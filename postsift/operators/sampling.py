@@ -46,6 +46,12 @@ def _class_sizes(df: DataFrame, label: str) -> dict[int, int]:
     return {v: sizes.get(v, 0) for v in CLASSES}
 
 
+def _mark_random(df, quotas, key, seed, label, sizes) -> DataFrame:
+    """Mark the first rows of a class in seeded order; other rows are dropped."""
+    known = df.where(F.col(label).isin(*CLASSES))
+    return mark_first(known, quotas, [seeded_order(seed, key), row_order(df)], label, "__taken", sizes)
+
+
 def balance_quotas(sizes: Mapping[int, int], trigger: int = 2, num: int = 6, den: int = 5) -> dict[int, int]:
     """Rows to keep: a class of more than ``trigger`` times the other is cut
     to ``num / den`` times the other."""
@@ -62,9 +68,8 @@ def balance(
 
     Only rows labelled 0 or 1 remain.
     """
-    known = df.where(F.col(label).isin(*CLASSES))
-    quotas = balance_quotas(_class_sizes(df, label), trigger, num, den)
-    marked = mark_first(known, quotas, [seeded_order(seed, key), row_order(df)], label, "__taken")
+    sizes = _class_sizes(df, label)
+    marked = _mark_random(df, balance_quotas(sizes, trigger, num, den), key, seed, label, sizes)
     return marked.withColumn("part", F.when(F.col("__taken"), "keep").otherwise("extra")).drop("__taken")
 
 
@@ -87,9 +92,8 @@ def train_quotas(sizes: Mapping[int, int], p: float) -> dict[int, int]:
 
 def stratified_split(df: DataFrame, p: float, key: str, seed: int = 0, label: str = "label") -> DataFrame:
     """Add ``split``, 'train' or 'test', with class shares preserved."""
-    known = df.where(F.col(label).isin(*CLASSES))
-    quotas = train_quotas(_class_sizes(df, label), p)
-    marked = mark_first(known, quotas, [seeded_order(seed, key), row_order(df)], label, "__taken")
+    sizes = _class_sizes(df, label)
+    marked = _mark_random(df, train_quotas(sizes, p), key, seed, label, sizes)
     return marked.withColumn("split", F.when(F.col("__taken"), "train").otherwise("test")).drop("__taken")
 
 
@@ -100,10 +104,9 @@ def split_task(df: DataFrame, p: float, key: str, seed: int = 0, label: str = "l
     order, so one mark does for both: a training row is among the first of
     the kept, which are the first of the class.
     """
-    known = df.where(F.col(label).isin(*CLASSES))
-    kept = balance_quotas(_class_sizes(df, label))
-    quotas = train_quotas(kept, p)
-    marked = mark_first(known, quotas, [seeded_order(seed, key), row_order(df)], label, "__taken")
+    sizes = _class_sizes(df, label)
+    quotas = train_quotas(balance_quotas(sizes), p)
+    marked = _mark_random(df, quotas, key, seed, label, sizes)
     return marked.withColumn("split", F.when(F.col("__taken"), "train").otherwise("test")).drop("__taken")
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="postsift-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"postsift-{application}-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
