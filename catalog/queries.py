@@ -34,6 +34,7 @@ from postsift.operators.ranking import seeded_order
 from postsift.operators.scorers import score_arrow, score_sentiment
 from postsift.plans.moderate import moderate, score_task
 from postsift.plans.train import fit_all, fit_task
+from postsift.plans.workspace import Settings, Workspace
 from postsift.sources import posts as IO
 from postsift.sources.durable import durable, fresh_path
 from postsift.sources.models import load_model, save_model
@@ -520,6 +521,14 @@ def loss_history(spark, sf_dir):
     return A.loss_history(fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech"))
 
 
+@query
+def evaluation_report(spark, sf_dir):
+    """The self-harm classifier and its ensemble, side by side."""
+    rows = labelled_tokens(spark, sf_dir)
+    scored = score_task(rows, fit_nb(rows, "selfharm"), "selfharm", lexicon=LEXICON)
+    return rounded(A.report(scored, ("prediction", "selfharm_pred"), "selfharm"), "accuracy")
+
+
 # --- sinks -----------------------------------------------------------------
 
 
@@ -557,3 +566,49 @@ def model_roundtrip(spark, sf_dir):
         for t in ("hatespeech", "selfharm")
     ]
     return R.concat(*made)
+
+
+# --- files by name ---------------------------------------------------------
+
+
+def _workspace(spark, sf_dir) -> Workspace:
+    """The given tables as files: a task set each, and stories."""
+    home = fresh_path(spark, "work")
+    rows = labelled(spark, sf_dir)
+    for task in P.TASKS:
+        sets = rows.select("doc_id", "data", F.col(task).alias("label"))
+        sets.write.parquet(f"{home}/tasks/{task}")
+    stories = table(spark, sf_dir, "documents")
+    story = (F.col("text").alias("data"), F.lit(0).alias("label"), F.col("doc_id").cast("string").alias("story_id"))
+    stories.select(*story).write.parquet(f"{home}/stories")
+    folders = [f"{home}/{name}" for name in ("tasks", "sets", "models", "results", "stories")]
+    return Workspace(
+        spark,
+        *folders,
+        fmt="parquet",
+        settings={task: Settings("nb") for task in P.TASKS},
+        key="doc_id",
+        task_schema="doc_id bigint, data string, label int",
+    )
+
+
+@query
+def named_sets(spark, sf_dir):
+    work = _workspace(spark, sf_dir)
+    work.split(0.8, seed=7)
+    made = [
+        work.load(name, task).withColumns({"task": F.lit(task), "set": F.lit(name)})
+        for task in P.TASKS
+        for name in ("train_set", "test_set")
+    ]
+    return R.concat(*made)
+
+
+@query
+def stories_to_verdicts(spark, sf_dir):
+    """Train on whole task files, save, load, and moderate the stories."""
+    work = _workspace(spark, sf_dir)
+    for task in P.TASKS:
+        work.train(task, spark.read.schema(work.task_schema).parquet(f"{work.tasks}/{task}"))
+    done = work.moderate("stories", save=True, normalize=True, lexicon=LEXICON)
+    return rounded(done, *[c for c in done.columns if c.endswith("prob") or c.endswith("probability")])

@@ -187,6 +187,17 @@ def _made_contractions() -> str:
     return contractions(x)
 
 
+def _named_sets() -> str:
+    parts = []
+    for task, label in TASK_LABEL.items():
+        for name in ("train", "test"):
+            parts.append(
+                f"""SELECT doc_id, text AS data, label, '{task}' AS task, '{name}_set' AS set
+                FROM ({_split(label, 0.8)}) JOIN documents USING (doc_id) WHERE split = '{name}'"""
+            )
+    return " UNION ALL ".join(parts)
+
+
 MODERATED = f"""{with_words(nb_scored("spam"), nb_scored("hatespeech"), nb_scored("selfharm"), SENTIMENT)}, base AS (
     SELECT doc_id, data, s.pred AS spam_pred, s.prob AS spam_prob, h.pred AS hatespeech_pred, h.prob AS hatespeech_prob,
         d.pred AS prediction, d.prob AS probability, coalesce(sp, 1) AS sentiment_prediction,
@@ -292,6 +303,12 @@ SQL = {
     "confusion": HATE
     + """SELECT l::INTEGER AS label, count(*) FILTER (label = l AND pred = 0) AS pred_0, count(*) FILTER (label = l AND pred = 1) AS pred_1
     FROM hatespeech_l JOIN hatespeech_r USING (doc_id), (VALUES (0), (1)) v(l) GROUP BY l""",
+    "evaluation_report": f"""{with_words(nb_scored("selfharm"), SENTIMENT)}, base AS (SELECT doc_id, label, pred,
+        pred & coalesce(sp, 1) AS both_pred FROM selfharm_l JOIN selfharm_r USING (doc_id) LEFT JOIN sent USING (doc_id)),
+        long AS (SELECT 'prediction' AS pred, label, pred AS p FROM base UNION ALL SELECT 'selfharm_pred', label, both_pred FROM base)
+        SELECT pred, round(avg((label = p)::DOUBLE), 4) AS accuracy, count(*) FILTER (label = 0 AND p = 0) AS n_00,
+        count(*) FILTER (label = 0 AND p = 1) AS n_01, count(*) FILTER (label = 1 AND p = 0) AS n_10,
+        count(*) FILTER (label = 1 AND p = 1) AS n_11 FROM long GROUP BY pred""",
     "row_counts": f"""SELECT 'loaded' AS stage, count(*) AS n FROM documents
         UNION ALL SELECT split, count(*) FROM ({SURPLUS}) GROUP BY split""",
     "class_counts": "SELECT toxic AS label, count(*) AS n FROM labels GROUP BY toxic",
@@ -302,4 +319,6 @@ SQL = {
     prediction, round(probability, 4) AS probability, sentiment_prediction, round(sentiment_probability, 4) AS sentiment_probability,
     selfharm_pred, round(selfharm_prob, 4) AS selfharm_prob FROM fused""",
     "write_split": SURPLUS,
+    "named_sets": _named_sets(),
+    "stories_to_verdicts": f"""SELECT * EXCLUDE (doc_id), 0::INTEGER AS label, doc_id::VARCHAR AS story_id FROM ({MODERATED})""",
 }
