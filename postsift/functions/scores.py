@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The wording of a verdict.
+CLEAN_MESSAGE = "The post does not have any toxic content"
+TOXIC_MESSAGE = (" detected with ", " % probability")
+
+
 def _as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -50,8 +55,6 @@ def verdict_message(prediction: Column | str, probability: Column | str) -> Colu
     """The sentence shown to a user for a fused verdict."""
     prediction, probability = _as_column(prediction), _as_column(probability)
     percent = F.format_string("%.2f", F.bround(probability * 100, 2))
-    return F.when(
-        prediction == "0", F.lit("The post does not have any toxic content")
-    ).otherwise(
-        F.concat(prediction, F.lit(" detected with "), percent, F.lit(" % probability"))
-    )
+    before, after = (F.lit(part) for part in TOXIC_MESSAGE)
+    found = F.concat(prediction, before, percent, after)
+    return F.when(prediction == "0", F.lit(CLEAN_MESSAGE)).otherwise(found)

@@ -30,6 +30,9 @@ STORY_SCHEMA = T.StructType(
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 CSV_WRITE_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
+# The names of result files.
+TASK_NAME, TASK_SET_NAME, FUSED_NAME = "only_{task}", "only_{task}_{set_name}", "all_toxicity"
+
 
 def read_posts(spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA) -> DataFrame:
     """Posts from any path, with a declared schema."""
@@ -70,6 +73,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     Text work is heavy on the processor, and a small file is one task. Inputs
     with enough splits, as all large ones, pass through without a shuffle.
+    Call it on what was just read: to count the splits of a frame with a
+    shuffle in it, Spark would have to run that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
@@ -85,12 +90,12 @@ def _write(df: DataFrame, path: str, fmt: str) -> str:
 
 def write_task(df: DataFrame, folder: str, task: str, set_name: str | None = None, fmt: str = "csv") -> str:
     """Predictions of one task, in a place named by task and set."""
-    name = f"only_{task}_{set_name}" if set_name else f"only_{task}"
+    name = (TASK_SET_NAME if set_name else TASK_NAME).format(task=task, set_name=set_name)
     return _write(df, f"{folder.rstrip('/')}/{name}", fmt)
 
 
 def write_fused(df: DataFrame, folder: str, fmt: str = "csv") -> str:
-    return _write(df, f"{folder.rstrip('/')}/all_toxicity", fmt)
+    return _write(df, f"{folder.rstrip('/')}/{FUSED_NAME}", fmt)
 
 
 def write_split(df: DataFrame, folder: str, task: str, fmt: str = "csv") -> str:
