@@ -30,7 +30,7 @@ from postsift.operators import rows as P
 from postsift.operators import sampling as R
 from postsift.operators.logreg import LogRegConfig, fit_logreg, score_logreg
 from postsift.operators.naive_bayes import fit_nb, fit_nb_tasks, score_nb
-from postsift.operators.ranking import seeded_order
+from postsift.operators.ranking import seeded_key
 from postsift.operators.scorers import score_arrow, score_sentiment
 from postsift.plans.moderate import moderate, score_task
 from postsift.plans.train import fit_all, fit_task
@@ -278,7 +278,7 @@ def sample_per_class(spark, sf_dir):
 
 @query
 def shuffle(spark, sf_dir):
-    return R.shuffle(toxic_labels(spark, sf_dir), "doc_id", 7).withColumn("shuffle_key", seeded_order(7, "doc_id"))
+    return R.shuffle(toxic_labels(spark, sf_dir), "doc_id", 7).withColumn("shuffle_key", seeded_key(7, "doc_id"))
 
 
 @query

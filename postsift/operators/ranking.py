@@ -9,7 +9,7 @@ Marking is a projection, so the wide rows are never shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,27 +24,65 @@ EXACT_ROWS = 1_000_000  # a prefix with no more rows than this is ranked exactly
 COPIES_PER_ROW = 100_000  # exact copies written out by one row of work
 
 
-def seeded_order(seed: int, *keys: str) -> Column:
-    """A reproducible random order: md5 of ``seed:key``, in hex."""
+@dataclass(frozen=True)
+class Order:
+    """How rows are ordered: by the hex text that the search goes through.
+
+    Rows are then compared by ``key``, the column that the text stands for,
+    with the literal that ``read`` makes of it. A plain column as key lets the
+    comparison go down to the scan. Nulls come first and have an empty text.
+    """
+
+    text: Column
+    key: Column
+    read: Callable[[str], object]
+
+    def before(self, value: str) -> Column:
+        return self.key.isNull() | (self.key < self.read(value)) if value else F.lit(False)
+
+    def upto(self, value: str) -> Column:
+        return self.key.isNull() | (self.key <= self.read(value)) if value else self.key.isNull()
+
+    def same(self, value: str) -> Column:
+        return self.key == self.read(value) if value else self.key.isNull()
+
+
+def _hashed(column: Column) -> Order:
+    return Order(column, column, str)
+
+
+def seeded_key(seed: int, *keys: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def key_order(df: DataFrame, key: str) -> Column:
-    """Hex text that sorts as the key does, for whole numbers and strings."""
+def seeded_order(seed: int, *keys: str) -> Order:
+    """A reproducible random order: md5 of ``seed:key``, in hex."""
+    return _hashed(seeded_key(seed, *keys))
+
+
+def key_order(df: DataFrame, key: str) -> Order:
+    """The order of a column of whole numbers or strings."""
     kind = df.schema[key].dataType
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         shifted = F.col(key).cast("long").bitwiseXOR(F.lit(-(2**63)))
-        return F.lpad(F.hex(shifted), 16, "0")
-    if isinstance(kind, T.StringType):
-        return F.hex(F.encode(F.col(key), "UTF-8"))
-    raise TypeError(f"cannot order by {key} of type {kind.simpleString()}")
+        text, read = F.lpad(F.hex(shifted), 16, "0"), lambda value: int(value[1:], 16) - 2**63
+    elif isinstance(kind, T.StringType):
+        text, read = F.hex(F.encode(F.col(key), "UTF-8")), lambda value: bytes.fromhex(value[1:]).decode()
+    else:
+        raise TypeError(f"cannot order by {key} of type {kind.simpleString()}")
+    marked = F.concat(F.lit("x"), text)  # so that an empty string is not taken for a null
+    return Order(F.coalesce(marked, F.lit("")), F.col(key), read)
 
 
-def row_order(df: DataFrame) -> Column:
-    """Order among rows that share a key, by all that is in them."""
+def row_key(df: DataFrame) -> Column:
     return F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}))
 
 
+def row_order(df: DataFrame) -> Order:
+    """Order among rows that share a key, by all that is in them."""
+    return _hashed(row_key(df))
+
+
 @dataclass(frozen=True)
 class Cut:
     """The order key that closes a quota, and how many of its rows to take."""
@@ -55,7 +93,7 @@ class Cut:
 
 
 def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+    return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
 def _closing(counts: DataFrame, need: Mapping[int, int]) -> dict[int, tuple[str, int, int]]:
@@ -82,7 +120,10 @@ def find_cuts(keys: DataFrame, need: Mapping[int, int]) -> dict[int, Cut]:
             whole = F.col("label").isin(*exact)
             part = F.when(whole, F.col("ord")).otherwise(part)
         counts = keys.where(inside).groupBy("label", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-        for value, (found, n, before) in _closing(counts, need).items():
+        closing = _closing(counts, need)
+        if len(closing) < len(need):
+            raise RuntimeError("the rows changed while they were counted")
+        for value, (found, n, before) in closing.items():
             rest = need[value] - before
             if value in exact or len(found) < len(prefix[value]) + DIGITS:
                 cuts[value] = Cut(found, rest, n)
@@ -105,7 +146,7 @@ def _per_class(values: Mapping[int, int]) -> Column:
 def mark_first(
     df: DataFrame,
     quotas: Mapping[int, int],
-    orders: Sequence[Column],
+    orders: Sequence[Order],
     label: str = "label",
     into: str = "taken",
     sizes: Mapping[int, int] | None = None,
@@ -117,33 +158,53 @@ def mark_first(
     which the right number is marked. Rows of other classes are not marked.
     ``sizes`` are the sizes of the classes, where they are known already.
     """
-    if sizes is None:
-        known = df.where(F.col(label).isin(*quotas))
-        sizes = {r[label]: r["n"] for r in class_counts(known, label).collect()}  # a row per class
-    return _mark(df, dict(quotas), sizes, list(orders), label, into)
+    return _mark(df, quotas, _sizes(df, quotas, label) if sizes is None else sizes, orders, label, into)
 
 
-def _mark(df, quotas, sizes, orders, label, into) -> DataFrame:
+def take_first(df: DataFrame, quotas: Mapping[int, int], orders: Sequence[Order], label: str = "label") -> DataFrame:
+    """The rows that :func:`mark_first` marks. Where no key is shared at the
+    edge of a quota, this is a filter that the scan can use to skip data."""
+    sizes = _sizes(df, quotas, label)
+    taken, split = _edge(df, quotas, sizes, orders[0], label)
+    if not split:
+        return df.where(taken)
+    return _mark(df, quotas, sizes, orders, label, "__taken").where("__taken").drop("__taken")
+
+
+def _sizes(df: DataFrame, quotas: Mapping[int, int], label: str) -> dict[int, int]:
+    known = df.where(F.col(label).isin(*quotas))
+    return {r[label]: r["n"] for r in class_counts(known, label).collect()}  # a row per class
+
+
+def _edge(df, quotas, sizes, order: Order, label) -> tuple[Column, dict[int, Cut]]:
+    """The condition for rows that are taken, and the cuts through equal keys."""
     cls = F.col(label)
     whole = [v for v, q in quotas.items() if q >= sizes.get(v, 0)]
     partial = {v: q for v, q in quotas.items() if 0 < q < sizes.get(v, 0)}
-    order = orders[0]
-    keys = df.where(cls.isin(*partial)).select(cls.alias("label"), order.alias("ord"))
-    cuts = find_cuts(keys, partial) if partial else {}
-    taken = _any(
-        [cls == v for v in whole]
-        + [(cls == v) & ((order <= c.value) if c.take == c.ties else (order < c.value)) for v, c in cuts.items()]
-    )
-    taken = F.coalesce(taken, F.lit(False))
+    cuts = {}
+    if partial:
+        keys = df.where(cls.isin(*partial)).select(cls.alias("label"), order.text.alias("ord"))
+        cuts = find_cuts(keys, partial)
     split = {v: c for v, c in cuts.items() if c.take < c.ties}
+    edges = [
+        (cls == v) & (order.before(c.value) if v in split else order.upto(c.value))
+        for v, c in cuts.items()
+    ]
+    return _any([cls == v for v in whole] + edges), split
+
+
+def _mark(df, quotas, sizes, orders, label, into) -> DataFrame:
+    cls, order = F.col(label), orders[0]
+    taken, split = _edge(df, quotas, sizes, order, label)
+    taken = F.coalesce(taken, F.lit(False))
     if not split:
         return df.withColumn(into, taken)
-    tie = F.coalesce(_any([(cls == v) & (order == c.value) for v, c in split.items()]), F.lit(False))
-    rest = {v: c.take for v, c in split.items()}
-    ties = {v: c.ties for v, c in split.items()}
+    ties = [(cls == v) & order.same(c.value) for v, c in split.items()]
+    tie = F.coalesce(_any(ties), F.lit(False))
     tied = df.where(tie)
+    rest = {v: c.take for v, c in split.items()}
     if len(orders) > 1:
-        marked = _mark(tied, rest, ties, orders[1:], label, into)
+        marked = _mark(tied, rest, {v: c.ties for v, c in split.items()}, orders[1:], label, into)
     else:
         marked = _mark_copies(tied, rest, label, into)
     return df.where(~tie).withColumn(into, taken).unionByName(marked)

@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.operators.evaluate import class_counts
-from postsift.operators.ranking import key_order, mark_first, row_order, seeded_order
+from postsift.operators.ranking import (
+    key_order,
+    mark_first,
+    row_key,
+    row_order,
+    seeded_key,
+    seeded_order,
+    take_first,
+)
 
 CLASSES = (0, 1)
 
@@ -19,8 +27,7 @@ def sample_per_class(df: DataFrame, n: float | str, key: str, label: str = "labe
     if n == "all":
         return df
     quotas = {v: math.floor(n) for v in CLASSES}
-    marked = mark_first(df, quotas, [key_order(df, key), row_order(df)], label, "__taken")
-    return marked.where("__taken").drop("__taken")
+    return take_first(df, quotas, [key_order(df, key), row_order(df)], label)
 
 
 def shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
@@ -29,7 +36,7 @@ def shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     A distributed sort. Rows with the same key are ordered by what else they
     hold and then by where they were read, so that copies spread out, too.
     """
-    return df.orderBy(seeded_order(seed, key), row_order(df), F.monotonically_increasing_id())
+    return df.orderBy(seeded_key(seed, key), row_key(df), F.monotonically_increasing_id())
 
 
 def concat(*frames: DataFrame) -> DataFrame:

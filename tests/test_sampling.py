@@ -110,6 +110,32 @@ def test_marking_shuffles_no_rows(spark, sf_dir):
     assert "Exchange" not in plan
 
 
+def test_sample_filter_reaches_the_scan(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    done = R.sample_per_class(df, 5, "doc_id")
+    assert "LessThanOrEqual(doc_id" in done._jdf.queryExecution().executedPlan().toString()
+    assert done.count() == 10
+
+
+def test_null_keys_are_not_lost(spark):
+    rows = [(None, 0)] * 3 + [(i, 0) for i in range(30)] + [(i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, label int")
+    assert R.split_task(df, 0.5, "id").count() == 38
+    assert R.balance(df, "id").count() == 38
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_null_keys_come_first_in_a_sample(spark, kind):
+    rows = [(None, 0, str(i)) for i in range(4)] + [(i, 0, "x") for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, label int, data string").withColumn("id", F.col("id").cast(kind))
+    for n in (0, 2, 4, 7, 10, 11):
+        done = R.sample_per_class(df, n, "id").collect()
+        assert len(done) == min(n, 10)
+        assert sum(r.id is None for r in done) == min(n, 4)
+    blank = df.unionByName(spark.createDataFrame([("", 0, "blank")], "id string, label int, data string")) if kind == "string" else df
+    assert R.sample_per_class(blank, 5, "id").count() == 5
+
+
 def test_split_all(spark):
     sets = R.split_all({"spam": labelled(spark, 10, 10), "hatespeech": labelled(spark, 30, 10)}, 0.5, "id")
     assert {t: df.where("split = 'train'").count() for t, df in sets.items()} == {"spam": 10, "hatespeech": 11}
