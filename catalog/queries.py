@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import (
     LEXICON,
     MASKS,
+    SCHEMAS,
     labelled,
     labelled_tokens,
     posts,
@@ -38,6 +39,7 @@ from postsift.plans.workspace import Settings, Workspace
 from postsift.sources import posts as IO
 from postsift.sources.durable import durable, fresh_path
 from postsift.sources.models import load_model, save_model
+from postsift.streaming.posts import stream_posts, write_stream
 
 # The scorer below goes to executors that have no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -376,6 +378,24 @@ def logreg_score(spark, sf_dir):
     return scored.select("doc_id", "prediction", "probability")
 
 
+@query
+def logreg_roundtrip(spark, sf_dir):
+    """A saved and loaded model scores all posts as before, and within bounds."""
+    folder = fresh_path(spark, "models")
+    model = fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech")
+    save_model(model, folder, "hatespeech", spark)
+    rows = durable(P.with_tokens(posts(spark, sf_dir)).select("doc_id", "tokens"), "tokens")
+    result = F.struct("prediction", F.round("probability", 9).alias("probability"))
+    before = score_logreg(rows, model).select("doc_id", result.alias("a"))
+    after = score_logreg(rows, load_model(folder, "hatespeech", spark)).select("doc_id", result.alias("b"))
+    inside = F.col("a.prediction").isin(0, 1) & F.col("a.probability").between(0.5, 1)
+    return before.join(after, "doc_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("a") == F.col("b")).alias("same"),
+        F.count_if(inside).alias("inside"),
+    )
+
+
 @query
 def fit_dispatch(spark, sf_dir):
     rows = durable(labelled_tokens(spark, sf_dir), "labelled")
@@ -486,6 +506,19 @@ def moderated(spark, sf_dir):
     return rounded(done, *probs)
 
 
+@query
+def streamed_verdicts(spark, sf_dir):
+    """The same plan on a stream of the file of documents."""
+    tasks = ("spam", "hatespeech", "selfharm")
+    models = fit_nb_tasks(labelled_tokens(spark, sf_dir), {t: t for t in tasks})
+    stream = stream_posts(spark, sf_dir, schema=SCHEMAS["documents"], pathGlobFilter="documents.parquet")
+    done = moderate(stream.select("doc_id", F.col("text").alias("data")), models, LEXICON)
+    out = fresh_path(spark, "stream")
+    write_stream(done, f"{out}/verdicts", f"{out}/state").awaitTermination()
+    back = spark.read.schema(done.schema).parquet(f"{out}/verdicts")
+    return rounded(back, *[c for c in back.columns if c.endswith("prob") or c.endswith("probability")])
+
+
 # --- evaluation ------------------------------------------------------------
 
 

