@@ -294,7 +294,7 @@ SQL = {
     "arbitrate_spam_floor": f"WITH {_stand_in()}, {ENSEMBLE}, {arbitration('spam_pred = 1 AND spam_prob > 0.55')}\n"
     "SELECT doc_id, prediction, round(probability, 4) AS probability FROM arb",
     "default_probability": BASE
-    + "SELECT doc_id, round(coalesce(CASE WHEN doc_id % 5 <> 0 THEN probability END, 1.0), 4) AS probability FROM base",
+    + "SELECT doc_id, round(coalesce(CASE WHEN prediction = 1 THEN probability END, 1.0), 4) AS probability FROM base",
     "confidence_floor": ARB
     + "SELECT doc_id, CASE WHEN prediction <> '0' AND probability < 0.6 THEN '0' ELSE prediction END AS prediction,"
     " round(probability, 4) AS probability FROM arb",

@@ -25,26 +25,36 @@ STORY_SCHEMA = T.StructType(
 )
 
 # A quote inside of a quoted field is doubled, and a field may hold newlines.
-# Files with such fields cannot be split between tasks: for large inputs use
-# many files, or parquet.
+# Files read like that cannot be split between tasks. Normalised texts hold no
+# newlines: read large files of them with ``multi_line=False``.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
-CSV_WRITE_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+CSV_WRITE_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,  # spaces at the edges of a text are part of it
+    "ignoreTrailingWhiteSpace": False,
+}
 
 # The names of result files.
 TASK_NAME, TASK_SET_NAME, FUSED_NAME = "only_{task}", "only_{task}_{set_name}", "all_toxicity"
 
 
-def read_posts(spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA) -> DataFrame:
+def read_posts(
+    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """Posts from any path, with a declared schema."""
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}; use csv or parquet")
-    options = CSV_OPTIONS if fmt == "csv" else {}
+    options = CSV_OPTIONS | {"multiLine": multi_line} if fmt == "csv" else {}
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
-def read_task(spark: SparkSession, path: str, fmt: str = "csv", schema=TASK_SCHEMA) -> DataFrame:
+def read_task(
+    spark: SparkSession, path: str, fmt: str = "csv", schema=TASK_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """A labelled training or test set of one task."""
-    return read_posts(spark, path, fmt, schema)
+    return read_posts(spark, path, fmt, schema, multi_line)
 
 
 def with_empty_results(df: DataFrame) -> DataFrame:
@@ -56,9 +66,11 @@ def with_empty_results(df: DataFrame) -> DataFrame:
     )
 
 
-def read_stories(spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA) -> DataFrame:
+def read_stories(
+    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """Posts to score, with result columns that are still null."""
-    return with_empty_results(read_posts(spark, path, fmt, schema))
+    return with_empty_results(read_posts(spark, path, fmt, schema, multi_line))
 
 
 def from_texts(spark: SparkSession, texts: Iterable[str] | DataFrame) -> DataFrame:

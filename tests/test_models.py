@@ -105,6 +105,18 @@ def test_per_token(train, new):
             assert row.log_odds == pytest.approx(whole[row.id].log_odds / max(1, len(row.tokens)))
 
 
+def test_fit_and_score_do_not_depend_on_partitions(train, new):
+    def results(parts):
+        model = NB.fit_nb(train.repartition(parts))
+        weights = {r.token: (r.weight, r.n) for r in model.weights.collect()}
+        scores = {r.id: r.log_odds for r in NB.score_nb(new.repartition(parts), model).collect()}
+        return model.prior, weights, scores
+
+    one, many = results(1), results(7)
+    assert one[:2] == many[:2]
+    assert one[2] == pytest.approx(many[2])
+
+
 def test_one_class_only_is_an_error(train):
     with pytest.raises(ValueError, match="both classes"):
         NB.fit_nb(train.where("label = 1"))

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -141,3 +142,29 @@ def test_normalisation_runs_once_below_a_filter(spark):
     df = normalize_rows(spark.range(3).select(F.col("id").cast("string").alias("data")))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall("array_intersect", plan)) == 1
+
+
+def test_what_holds_for_any_text(spark):
+    """Random texts of letters, signs and odd code points, in any partitions."""
+    rng = random.Random(5)
+    isolated = {p for r in ISOLATE_RANGES for p in r} | {ord(c) for c in "!#*-/:]^_~"}
+    deleted = {p for r in DELETE_RANGES for p in r}
+    letters = "abc dé'ñ" + "  " + "'im dont it's "
+    alphabet = [*letters, *map(chr, sorted(isolated)), *map(chr, sorted(deleted))]
+    weights = [40] * len(letters) + [1] * (len(alphabet) - len(letters))
+    texts = ["".join(rng.choices(alphabet, weights, k=rng.randrange(60))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, data string")
+    outs = []
+    for parts in (1, 5):
+        rows = df.repartition(parts).select("id", T.normalize_text("data").alias("out"))
+        outs.append({r.id: r.out for r in rows.collect()})
+    assert outs[0] == outs[1]
+    isolated_lower = {p for p in isolated if chr(p).lower() == chr(p)}
+    for i, text in enumerate(texts):
+        out = outs[0][i]
+        assert out == out.lower()
+        assert not {ord(c) for c in out} & (deleted - {32})
+        assert "  " not in out
+        for at, c in enumerate(out):
+            if ord(c) in isolated_lower:
+                assert out[at - 1 : at] in ("", " ") and out[at + 1 : at + 2] in ("", " ")
