@@ -9,9 +9,11 @@ the next place could give: for long documents after a few places. All
 documents of a slice are drawn place by place together.
 
 Bands of the signature make buckets. In a bucket every member is paired with
-the smallest one, and verified on the full sets. Only members that are still
-in different components after that are paired with each other: so a group of
-thousands of copies costs one pair each, and no link is lost.
+the smallest one, and verified on the full sets. Members that are still in
+different components after that are compared with each other, block by block,
+on short hashes of their whole sets; of what agrees, only pairs that connect
+components are verified. So a group of thousands of copies costs one pair
+each, pairs below the similarity never become rows, and no link is lost.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BANDS = 32
 BAND_ROWS = 5  # a pair at similarity 0.8 meets in no band in 3 of a million cases
 CHUNK = 1 << 16  # shingles drawn at a time
+BLOCK = 512  # members of a bucket that are compared with as many others at a time
+SLACK = 8  # shingles by which two sets' intersection on short hashes may be too large
 ORDER = np.uint64(0x9FB21C651E98DF25)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
@@ -145,8 +149,10 @@ def set_writer(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         for batch in slices(batches, "text"):
             sets = list(shingle_sets(words(batch.column("text")), width))
             first = np.concatenate([[0], np.cumsum([len(s) for s in sets], dtype=np.int64)])
+            short = [np.sort(s.astype(np.uint32)).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), listed(np.concatenate(sets).view(np.int64), first)], names=["node", "shingles"]
+                [batch.column("doc_id"), listed(np.concatenate(sets).view(np.int64), first), pa.array(short, pa.binary())],
+                names=["node", "shingles", "short"],
             )
 
     return write
@@ -157,6 +163,62 @@ def _alike(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def comparer(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Pairs between two blocks of a bucket that may be similar and are in different components.
+
+    A pair that shares several buckets is left to the first of them. Pairs
+    that are similar beyond SLACK connect their components at once; of the
+    others, all that still lie apart are given out.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        key = table.column("key")[0].as_py()
+        node, n, component, block, i, j = (table.column(c).to_numpy() for c in ("node", "n", "component", "block", "i", "j"))
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sets = [np.frombuffer(s.as_buffer(), np.uint32) for s in table.column("short")]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        tokens = np.concatenate([sets[r] for r in right]) if len(right) else np.zeros(0, np.uint32)
+        owner = np.repeat(np.arange(len(right)), [len(sets[r]) for r in right])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        found: list[tuple[int, int, int]] = []
+        for x in left.tolist():
+            own = bands[x]
+            at = int(np.flatnonzero(own == key)[0])
+            ok = (node[right] > node[x] if i[0] == j[0] else node[right] != node[x]) & (component[right] != component[x])
+            ok &= 100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])
+            if at and ok.any():
+                ok &= ~(bands[right][:, :at] == own[:at]).any(axis=1)
+            if not ok.any():
+                continue
+            lo, hi = np.searchsorted(tokens, sets[x], "left"), np.searchsorted(tokens, sets[x], "right")
+            size = hi - lo
+            spots = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+            shared = np.bincount(owner[spots], minlength=len(right))
+            sure = 100 * (shared - SLACK) >= percent * (n[right] + n[x] - shared + SLACK)
+            may = ok & (100 * shared >= percent * (n[right] + n[x] - shared))
+            found += [(0 if sure[y] else 1, x, int(right[y])) for y in np.flatnonzero(may).tolist()]
+        parent = {c: c for c in set(component.tolist())}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        out = []
+        for unsure, x, y in sorted(found):
+            a, b = root(int(component[x])), root(int(component[y]))
+            if a != b:
+                out.append(sorted((int(node[x]), int(node[y]))))
+                if not unsure:
+                    parent[a] = b
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    return compare
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -219,7 +281,7 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     )
     members = durable(buckets.join(shared, "key"), "members")
     involved = durable(members.select(F.col("node").alias("doc_id")).distinct(), "involved")
-    sets = rows_with_keys(docs, involved, "doc_id").mapInArrow(set_writer(width), "node bigint, shingles array<bigint>")
+    sets = rows_with_keys(docs, involved, "doc_id").mapInArrow(set_writer(width), "node bigint, shingles array<bigint>, short binary")
     sets = durable(sets, "sets")
     if sets.groupBy("node").count().where("count > 1").limit(1).count():  # rows that repeat an id
         sets = durable(sets.distinct(), "distinct_sets")
@@ -233,16 +295,13 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
         "key", "node", "n", F.col("centre.node").alias("centre"), F.coalesce("component", "node").alias("component")
     )
     placed = durable(placed, "placed")
-    spread = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    spread = durable(spread, "spread")
-    apart = placed.join(spread, "key")
-    one, two = apart.alias("one"), apart.alias("two")
-    apart_pairs = (
-        one.join(two, F.col("one.key") == F.col("two.key"))
-        .where("one.node < two.node and one.component != two.component and one.node != one.centre")
-        .where(_alike(F.col("one.n"), F.col("two.n"), percent))
-        .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-        .distinct()
-    )
-    more = durable(_verified(apart_pairs, sets, percent), "more_links")
+    spread = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+    spread = durable(spread.where("lo != hi").select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")), "spread")
+    apart = placed.join(spread, "key").select("key", "node", "n", "component", "blocks")
+    details = classes.select("node", "bands").join(sets.select("node", "short"), "node")
+    apart = apart.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    apart = apart.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    apart = apart.select("key", "node", "n", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    pairs = apart.join(details, "node").groupBy("key", "i", "j").applyInArrow(comparer(percent), "a bigint, b bigint")
+    more = durable(_verified(durable(pairs.distinct(), "apart_pairs"), sets, percent), "more_links")
     return links.union(more)
