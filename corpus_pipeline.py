@@ -1,25 +1,56 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before
+kept; all but the last return rows with the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postsift.llm.superminhash import near_duplicates
-from postsift.llm.words import rows_with_keys
+from postsift.llm import language, mixing, packing, quality, superminhash
+from postsift.sources.durable import durable
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or are unlike trusted ones, go."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told go."""
+    return language.accepted(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    dropped = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """Of each group of near-duplicates (five words, similarity 0.8) the smallest doc_id stays."""
+    return superminhash.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated, so that sources come near their target weights."""
+    return mixing.mixed_documents(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are cut and packed into bins."""
+    return packing.packed(docs)
+
 
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("best_fit_packing", best_fit_packing),
+]
 
-STAGES = [("near_dedup", near_dedup)]
+# SQL cannot express a stage (hashed n-gram weights, signatures, bins); tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

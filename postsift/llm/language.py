@@ -21,7 +21,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsift.llm.words import SPACES, slices, text_bytes
+from postsift.llm.words import SPACES, rows_without_keys, slices, text_bytes
 from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -175,16 +175,26 @@ def identified(rows: DataFrame, keep: list[str], languages: tuple[str, ...] = LA
     )
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", "text", "lang", "source").alias("row_key")
+
+
 def document_languages(docs: DataFrame) -> DataFrame:
     """Languages of documents (doc_id, text, lang, source): the source is the host, ``lang`` is declared.
 
     Adds row_key, a hash of the four columns, by which rows without a doc_id can be found again.
     """
-    key = F.xxhash64("doc_id", "text", "lang", "source").alias("row_key")
-    rows = docs.select(F.col("doc_id").cast("bigint"), key, "text", F.col("lang").cast("string").alias("declared"), F.col("source").cast("string").alias("host"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), row_key(), "text", F.col("lang").cast("string").alias("declared"), F.col("source").cast("string").alias("host"))
     return identified(rows, ["doc_id", "row_key"])
 
 
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is kept, with all their columns."""
+    gone = durable(document_languages(docs).where("not kept").select("row_key").distinct(), "rejected")
+    keyed = docs.withColumn("row_key", row_key())
+    return rows_without_keys(keyed, gone, "row_key").select(*[f"`{c}`" for c in docs.columns])
+
+
 def page_languages(pages: DataFrame) -> DataFrame:
     """Languages of pages (page_id, url, html): declared in <html lang>, with host and suffix of the address.
 

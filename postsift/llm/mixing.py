@@ -19,6 +19,7 @@ WEIGHTS = (1, 2, 3)  # of the sources in the order of their names, over and over
 MOST_COPIES = 3
 SEED = "mix-1"
 BROADCAST_SOURCES = 100_000
+BROADCAST_ROWS = 1_000_000  # documents whose numbers of copies go to every executor; more are joined by a shuffle
 
 
 def size_in_words(text: Column) -> Column:
@@ -27,6 +28,11 @@ def size_in_words(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x20\x09-\x0D]"), inner + 1).otherwise(0).cast("bigint")
 
 
+def row_key() -> Column:
+    """A hash of what a row of documents holds."""
+    return F.xxhash64("doc_id", "source", "text").alias("row_key")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """Of rows (source, size): source, source_size, n and target.
 
@@ -64,7 +70,7 @@ def mixed_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     """How often each of the documents (doc_id, text, source) is taken.
 
     Returns per row: doc_id, source, size (words), source_size, target (of its
-    source, in words), copies and taken (copies * size). The words taken of a
+    source, in words), copies, taken (copies * size) and row_key. The words taken of a
     source come nearest to the target that whole documents in rank order
     allow, and no document is taken more than ``most`` times. The ranks derive
     from doc_id, so reruns agree; rows that repeat a doc_id get the same rank
@@ -73,7 +79,7 @@ def mixed_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     source of its own, the last; a null doc_id counts as the empty text. An
     empty table gives an empty table; other columns are not looked at.
     """
-    sized = durable(docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), size_in_words(F.col("text")).alias("size")), "sized")
+    sized = durable(docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), size_in_words(F.col("text")).alias("size"), row_key()), "sized")
     targets = durable(source_targets(sized, weights, most), "targets")
     few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     named = targets.withColumnRenamed("source", "of")
@@ -95,4 +101,18 @@ def mixed_sizes(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     # Taken is what ends nearer to the rest than it starts.
     more = (F.col("before") + F.col("running") - F.col("size") / 2 <= F.col("rest")) & (F.col("size") > 0)
     copies = F.least(F.col("whole") + more.cast("int"), F.lit(most)).cast("bigint")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row_key")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mixed_sizes`` takes it."""
+    taken = mixed_sizes(docs, weights, most).groupBy("row_key").agg(F.sum("copies").alias("times"), F.count("*").alias("rows"))
+    taken = durable(taken, "taken")
+    keyed = docs.withColumn("row_key", row_key())
+    if taken.where("rows > 1").limit(1).count():  # equal rows count together
+        keyed = keyed.dropDuplicates(["row_key"])
+    taken = taken.where("times > 0").select("row_key", "times")
+    few = taken.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    both = keyed.join(F.broadcast(taken) if few else taken.hint("merge"), "row_key")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias("copy_number")).drop("copy_number")

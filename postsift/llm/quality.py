@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 TRUSTED_DOCS = 20_000  # of the documents labelled good, so many at most (those with the least hash) are the target
-THRESHOLD = -0.35  # nats per n-gram
+THRESHOLD = -0.2  # nats per n-gram
 PRIOR = 1.0  # pseudo-counts of a bucket, spread as in the raw corpus
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -130,25 +130,42 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bu
     rows are judged alike. Other columns are not looked at; an empty table
     gives an empty table.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    weights = bucket_weights(docs, trusted_ids(labels), buckets)
+    return judged(docs, labels, threshold, buckets).select(F.col("doc_id").cast("bigint").alias("doc_id"), "judged.*")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    return judged(docs, labels, threshold, buckets).where("judged.kept").select(*[f"`{c}`" for c in docs.columns])
+
+
+def judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int) -> DataFrame:
+    """``docs`` with the judgement as a struct, ``judged``."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    counted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
+    weights = bucket_weights(counted, trusted_ids(labels), buckets)
     # One constant array: a lookup is an access by position.
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
-    def judged(words: Column) -> Column:
+    def measured(words: Column) -> Column:
         size = F.size(words)
-        lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-        lower = words_of(F.lower("text"))
-        scores = _bound(lower, lambda w: F.aggregate(ngram_buckets(w, F.size(w), buckets), F.lit(0.0), lambda a, b: a + F.get(table, b)))
+        lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+        scores = _bound(
+            words_of(F.lower(text)), lambda w: F.aggregate(ngram_buckets(w, F.size(w), buckets), F.lit(0.0), lambda a, b: a + F.get(table, b))
+        )
         return F.struct(
             size.cast("bigint").alias("n_words"),
-            (F.length("text") - F.regexp_count("text", F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
-            F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+            (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
+            F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
             _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             repeated_words(words, size).alias("n_repeat_words"),
             F.when(size > 0, scores / (2 * size - 1)).alias("score"),
         )
 
-    found = docs.select("doc_id", F.explode(F.transform(F.array(words_of(F.col("text"))), judged)).alias("j")).select("doc_id", "j.*")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.col("score") >= threshold, F.lit(False)))
+    def decided(m: Column) -> Column:
+        failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        kept = ~failed & F.coalesce(m["score"] >= threshold, F.lit(False))
+        counts = [m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+        return F.struct(*counts, failed.alias("base_failed"), m["score"].alias("score"), kept.alias("kept"))
+
+    found = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.transform(F.array(words_of(text)), measured)).alias("judged"))
+    return found.withColumn("judged", _bound(F.col("judged"), decided))

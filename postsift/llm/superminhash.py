@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.llm.components import components
-from postsift.llm.words import Runs, Words, listed, mixed, rows_with_keys, slices
+from postsift.llm.words import Runs, Words, listed, mixed, rows_with_keys, rows_without_keys, slices
 from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -272,6 +272,16 @@ def near_duplicates(
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, of each group of near-duplicates one, with all their columns."""
+    found = durable(near_duplicates(docs, width, percent).select("doc_id", "kept"), "groups")
+    rows = rows_without_keys(docs, durable(found.where("not kept").select("doc_id").distinct(), "dropped"), "doc_id")
+    if found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():  # rows that repeat an id
+        one = rows.where("doc_id is not null").dropDuplicates(["doc_id"])
+        rows = one.union(rows.where("doc_id is null"))
+    return rows
+
+
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that connect all that are similar."""
     buckets = classes.select("node", "n", F.explode("bands").alias("key"))

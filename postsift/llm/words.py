@@ -124,8 +124,17 @@ def listed(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values))
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is among the distinct ``keys``. They are
-    broadcast if there are at most BROADCAST_KEYS, else both sides shuffle."""
+def _few(keys: DataFrame) -> DataFrame:
+    """Marked to be broadcast if there are at most BROADCAST_KEYS, else to be shuffled."""
     few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if few else keys.hint("merge"), key, "left_semi")
+    return F.broadcast(keys) if few else keys.hint("merge")
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is among the distinct ``keys``."""
+    return df.join(_few(keys), key, "left_semi")
+
+
+def rows_without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not among the distinct ``keys``, or null."""
+    return df.join(_few(keys), key, "left_anti")
