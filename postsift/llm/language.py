@@ -191,8 +191,7 @@ def document_languages(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is kept, with all their columns."""
     gone = durable(document_languages(docs).where("not kept").select("row_key").distinct(), "rejected")
-    keyed = docs.withColumn("row_key", row_key())
-    return rows_without_keys(keyed, gone, "row_key").select(*[f"`{c}`" for c in docs.columns])
+    return rows_without_keys(docs.select(F.struct("*").alias("row"), row_key()), gone, "row_key").select("row.*")
 
 
 def page_languages(pages: DataFrame) -> DataFrame:

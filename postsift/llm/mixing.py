@@ -62,7 +62,7 @@ def pareto_rank(size: Column, mean: Column, part: Column) -> Column:
     """Random odds over inclusion odds. Chances are ``part`` on average; shorter documents have more, as they scatter less in words."""
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10)
     u = (draw.cast("double") + 0.5) / float(1 << 52)
-    chance = F.least(F.lit(0.999999), part * 2 * mean / (mean + size))
+    chance = F.greatest(F.lit(1e-12), F.least(F.lit(0.999999), part * 2 * mean / F.greatest(mean + size, F.lit(1.0))))
     return (u / (1 - u)) / (chance / (1 - chance))
 
 
@@ -108,11 +108,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """The rows of ``docs``, each as often as ``mixed_sizes`` takes it."""
     taken = mixed_sizes(docs, weights, most).groupBy("row_key").agg(F.sum("copies").alias("times"), F.count("*").alias("rows"))
     taken = durable(taken, "taken")
-    keyed = docs.withColumn("row_key", row_key())
+    keyed = docs.select(F.struct("*").alias("row"), row_key())
     if taken.where("rows > 1").limit(1).count():  # equal rows count together
         keyed = keyed.dropDuplicates(["row_key"])
     taken = taken.where("times > 0").select("row_key", "times")
     few = taken.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     both = keyed.join(F.broadcast(taken) if few else taken.hint("merge"), "row_key")
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias("copy_number")).drop("copy_number")
+    return both.select("row", copies).select("row.*")

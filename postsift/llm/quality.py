@@ -130,16 +130,16 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bu
     rows are judged alike. Other columns are not looked at; an empty table
     gives an empty table.
     """
-    return judged(docs, labels, threshold, buckets).select(F.col("doc_id").cast("bigint").alias("doc_id"), "judged.*")
+    return judged(docs, labels, threshold, buckets).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "judged.*")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
-    return judged(docs, labels, threshold, buckets).where("judged.kept").select(*[f"`{c}`" for c in docs.columns])
+    return judged(docs, labels, threshold, buckets).where("judged.kept").select("row.*")
 
 
 def judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int) -> DataFrame:
-    """``docs`` with the judgement as a struct, ``judged``."""
+    """Rows of ``docs`` as a struct, ``row``, and their judgement as another, ``judged``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     counted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     weights = bucket_weights(counted, trusted_ids(labels), buckets)
@@ -167,5 +167,5 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float, buckets: int) -
         counts = [m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
         return F.struct(*counts, failed.alias("base_failed"), m["score"].alias("score"), kept.alias("kept"))
 
-    found = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.transform(F.array(words_of(text)), measured)).alias("judged"))
+    found = docs.select(F.struct("*").alias("row"), F.explode(F.transform(F.array(words_of(text)), measured)).alias("judged"))
     return found.withColumn("judged", _bound(F.col("judged"), decided))

@@ -39,7 +39,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archived_pages(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    return archived_pages(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc")).drop("n_pieces")
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed_sizes(_table(spark, sf_dir, "documents"))
+    return mixed_sizes(_table(spark, sf_dir, "documents")).drop("row_key")
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

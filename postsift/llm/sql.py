@@ -1,3 +1,80 @@
 """SQL for DuckDB that gives the rows of queries, where SQL can express them."""
 
 SQL: dict[str, str] = {}
+
+SQL["op4_warc"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), hashed AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads
+), named AS (
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+               lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * i, 5))::BIGINT >> s) & 31)::INT, 1)), '')), '') AS payload_digest
+    FROM hashed
+), grouped AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS original FROM named
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN original IS NULL OR page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN original IS NULL OR page_id IS NOT DISTINCT FROM original THEN NULL ELSE original END AS refers_to
+FROM grouped
+"""
+
+SQL["op6_mixing"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), by_source AS (
+    SELECT source, sum(size)::BIGINT AS source_size, count(*) AS n FROM sized GROUP BY source
+), weighted AS (
+    SELECT *, 3 * source_size AS bound, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM by_source
+), leveled AS (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(bound) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighted
+), final AS (
+    SELECT *, max(CASE WHEN bound / weight > level THEN level END) OVER () AS water FROM leveled
+), targets AS (
+    SELECT source, source_size, n,
+           least(CASE WHEN bound / weight <= level OR water IS NULL THEN bound::DOUBLE ELSE water * weight END, bound::DOUBLE) AS target
+    FROM final
+), wanted AS (
+    SELECT s.*, t.source_size, t.n, t.target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS wanted
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), drawn AS (
+    SELECT *, floor(wanted)::BIGINT AS whole, target - floor(wanted)::BIGINT * source_size AS rest, source_size / n AS mean,
+           ((('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
+    FROM wanted
+), chances AS (
+    SELECT *, greatest(1e-12, least(0.999999, greatest(wanted - whole, 1e-9) * 2 * mean / greatest(mean + size, 1.0::DOUBLE))) AS chance FROM drawn
+), running AS (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (chance / (1 - chance)), doc_id NULLS FIRST, size
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    FROM chances
+)
+SELECT doc_id, source, size, source_size, target,
+       least(whole + (upto - size / 2 <= rest AND size > 0)::INT, 3)::BIGINT AS copies,
+       (least(whole + (upto - size / 2 <= rest AND size > 0)::INT, 3) * size)::BIGINT AS taken
+FROM running
+"""
+
+SQL["op10_superminhash"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS s FROM worded
+), shingles AS (
+    SELECT doc_id, unnest(s) AS x FROM shingled
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN shingled p ON p.doc_id = a JOIN shingled q ON q.doc_id = b WHERE 100 * n_both >= 80 * (len(p.s) + len(q.s) - n_both)
+), either AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, either.b FROM reach JOIN either ON reach.b = either.a
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM shingled JOIN least USING (doc_id)
+"""
