@@ -35,12 +35,12 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with a label per task; there is none for self-harm, so the one
-    for hate speech stands in."""
+    """Posts with a label per task; there is none for self-harm, so one made
+    of the two others stands in."""
     labels = table(spark, sf_dir, "labels").select(
         "doc_id",
         F.col("toxic").alias("hatespeech"),
-        F.col("toxic").alias("selfharm"),
+        F.when(F.col("doc_id") % 3 == 0, 1 - F.col("quality")).otherwise(F.col("toxic")).alias("selfharm"),
         (1 - F.col("quality")).alias("spam"),
     )
     return posts(spark, sf_dir).join(labels, "doc_id")
@@ -60,7 +60,11 @@ def spam_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stand_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every task's results, worked out from the id of a document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return with_stand_in(table(spark, sf_dir, "documents").select("doc_id"))
+
+
+def with_stand_in(docs: DataFrame) -> DataFrame:
+    """The stand-in results of rows that have a doc_id."""
     out = {}
     for task, prime in PRIMES.items():
         p = F.col("doc_id") * prime % 1000 / 1000.0

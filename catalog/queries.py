@@ -22,6 +22,7 @@ from catalog.inputs import (
     stand_in,
     table,
     toxic_labels,
+    with_stand_in,
 )
 from postsift.functions import scores as S
 from postsift.functions import text as T
@@ -131,12 +132,12 @@ def norm_contractions(spark, sf_dir):
 
 @query
 def norm_delete(spark, sf_dir):
-    return _text(spark, sf_dir, lambda c: T.delete_symbols(F.translate(c, "aeo", "😁яά")))
+    return _text(spark, sf_dir, lambda c: T.delete_symbols(F.translate(c, "aeoinst", "😁\u200b\ue000я日ไ한")))
 
 
 @query
 def norm_isolate(spark, sf_dir):
-    return _text(spark, sf_dir, lambda c: T.isolate_symbols(F.translate(c, "aeo", "…™π")))
+    return _text(spark, sf_dir, lambda c: T.isolate_symbols(F.translate(c, "aesino", "…™€π日ह")))
 
 
 @query
@@ -179,7 +180,14 @@ def demask(spark, sf_dir):
 @query
 def demask_first(spark, sf_dir):
     masked = _text(spark, sf_dir, lambda c: F.replace(F.lower(c), F.lit("e"), F.lit("*")))
-    return masked.select("doc_id", T.normalize_text(T.demask("data", MASKS)).alias("data"))
+    return masked.select("doc_id", T.normalize_text("data", demask_first=True, masks=MASKS).alias("data"))
+
+
+@query
+def demask_default(spark, sf_dir):
+    """The default table of masks, through the flag."""
+    masked = _text(spark, sf_dir, lambda c: F.replace(F.lower(c), F.lit("the"), F.lit("h*ll")))
+    return masked.select("doc_id", T.normalize_text("data", demask_first=True).alias("data"))
 
 
 @query
@@ -354,8 +362,7 @@ def argmax_softmax(spark, sf_dir):
 
 @query
 def sentiment_lexicon(spark, sf_dir):
-    base = stand_in(spark, sf_dir).select("doc_id", "probability")
-    rows = P.with_tokens(posts(spark, sf_dir)).join(base, "doc_id")
+    rows = with_stand_in(P.with_tokens(posts(spark, sf_dir)))
     scored = score_sentiment(rows, LEXICON)
     return rounded(scored.select("doc_id", "sentiment_prediction", "sentiment_probability"), "sentiment_probability")
 
@@ -365,17 +372,29 @@ CONFIG = LogRegConfig(epochs=10, features=1 << 16)
 
 @query
 def logreg_fit(spark, sf_dir):
-    """The coefficients, by feature."""
-    model = fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech")
-    weights = model.stages[-1].coefficients.toArray().tolist()
-    return spark.createDataFrame(list(enumerate(weights)), "feature int, weight double").where("weight != 0")
+    """The size of the model, and whether it tells its own training rows better than their majority does."""
+    rows = durable(labelled_tokens(spark, sf_dir), "labelled")
+    model = fit_logreg(rows, CONFIG, "hatespeech")
+    fitted = model.pipeline.stages[-1]
+    weights = fitted.coefficients.toArray()
+    hits = A.accuracy(score_logreg(rows, model), "hatespeech")
+    common = rows.agg(F.greatest(F.avg("hatespeech"), 1 - F.avg("hatespeech")).alias("share"))
+    return hits.join(common).select(
+        F.lit(int(weights.size)).alias("features"),
+        F.lit(int(np.isfinite(weights).sum())).alias("finite"),
+        (F.col("accuracy") > F.col("share")).alias("learns"),
+    )
 
 
 @query
 def logreg_score(spark, sf_dir):
+    """Rows scored, results within bounds, and training rows told right."""
     model = fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech")
-    scored = score_logreg(P.with_tokens(posts(spark, sf_dir)), model, max_len=CONFIG.max_len)
-    return scored.select("doc_id", "prediction", "probability")
+    scored = score_logreg(P.with_tokens(posts(spark, sf_dir)), model)
+    inside = F.col("prediction").isin(0, 1) & F.col("probability").between(0.5, 1)
+    known = scored.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    right = F.count_if(F.col("toxic") == F.col("prediction")) >= 0.9 * F.count("toxic")
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("inside"), right.alias("mostly_right"))
 
 
 @query
@@ -384,12 +403,12 @@ def logreg_roundtrip(spark, sf_dir):
     folder = fresh_path(spark, "models")
     model = fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech")
     save_model(model, folder, "hatespeech", spark)
-    rows = durable(P.with_tokens(posts(spark, sf_dir)).select("doc_id", "tokens"), "tokens")
+    rows = P.with_tokens(posts(spark, sf_dir)).select("doc_id", "tokens")
     result = F.struct("prediction", F.round("probability", 9).alias("probability"))
-    before = score_logreg(rows, model).select("doc_id", result.alias("a"))
-    after = score_logreg(rows, load_model(folder, "hatespeech", spark)).select("doc_id", result.alias("b"))
+    before = score_logreg(rows, model).select("doc_id", "tokens", result.alias("a"))
+    both = score_logreg(before, load_model(folder, "hatespeech", spark)).withColumn("b", result)
     inside = F.col("a.prediction").isin(0, 1) & F.col("a.probability").between(0.5, 1)
-    return before.join(after, "doc_id").agg(
+    return both.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("a") == F.col("b")).alias("same"),
         F.count_if(inside).alias("inside"),
@@ -398,9 +417,13 @@ def logreg_roundtrip(spark, sf_dir):
 
 @query
 def fit_dispatch(spark, sf_dir):
+    """Both kinds of trainer by name: rows scored, and labels told right by most."""
     rows = durable(labelled_tokens(spark, sf_dir), "labelled")
-    fitted = {kind: fit_task(rows, kind, CONFIG, "hatespeech") for kind in ("nb", "logreg")}
-    made = [score_task(rows, m, "hatespeech").select(F.lit(k).alias("model"), "doc_id", "hatespeech_pred") for k, m in fitted.items()]
+    made = []
+    for kind in ("nb", "logreg"):
+        scored = score_task(rows, fit_task(rows, kind, CONFIG, "hatespeech"), "hatespeech")
+        right = F.count_if(F.col("hatespeech") == F.col("hatespeech_pred")) >= 0.85 * F.count(F.lit(1))
+        made.append(scored.agg(F.lit(kind).alias("model"), F.count(F.lit(1)).alias("n"), right.alias("mostly_right")))
     return R.concat(*made)
 
 
@@ -423,14 +446,20 @@ def fit_all_tasks(spark, sf_dir):
 
 @query
 def score_dispatch(spark, sf_dir):
-    """Both kinds of model through the one call."""
-    rows = labelled_tokens(spark, sf_dir)
-    models = {"nb": fit_nb(rows, "hatespeech"), "logreg": fit_logreg(rows, CONFIG, "hatespeech")}
-    made = [
-        score_task(posts(spark, sf_dir), m, "hatespeech").select(F.lit(k).alias("model"), "doc_id", "hatespeech_pred", "hatespeech_prob")
-        for k, m in models.items()
-    ]
-    return R.concat(*made)
+    """Naive Bayes through the one call, row by row."""
+    model = fit_nb(labelled_tokens(spark, sf_dir), "hatespeech")
+    scored = score_task(posts(spark, sf_dir), model, "hatespeech")
+    return rounded(scored.select("doc_id", "hatespeech_pred", "hatespeech_prob"), "hatespeech_prob")
+
+
+@query
+def score_dispatch_logreg(spark, sf_dir):
+    """A regression through the one call gives what its own scorer gives."""
+    model = fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech")
+    scored = score_task(P.with_tokens(posts(spark, sf_dir)), model, "hatespeech")
+    both = score_logreg(scored, model)
+    same = (F.col("hatespeech_pred") == F.col("prediction")) & (F.abs(F.col("hatespeech_prob") - F.col("probability")) < 1e-9)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("same"))
 
 
 @query
@@ -551,7 +580,13 @@ def class_counts(spark, sf_dir):
 
 @query
 def loss_history(spark, sf_dir):
-    return A.loss_history(fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech"))
+    """Steps from 0 on, a loss that is above zero and never rises."""
+    history = A.loss_history(fit_logreg(labelled_tokens(spark, sf_dir), CONFIG, "hatespeech"))
+    ordered = F.array_sort(F.collect_list(F.struct("iteration", "loss")))
+    losses, steps = F.transform("h", lambda x: x["loss"]), F.transform("h", lambda x: x["iteration"])
+    falls = F.forall(F.arrays_zip(F.slice(losses, 2, 1000).alias("a"), losses.alias("b")), lambda x: x["a"].isNull() | (x["a"] <= x["b"]))
+    checks = (falls.alias("falls"), (F.array_min(losses) > 0).alias("positive"), (steps == F.sequence(F.lit(0), F.size("h") - 1)).alias("in_steps"))
+    return history.agg(ordered.alias("h")).select(*checks, F.size("h").between(2, CONFIG.epochs + 1).alias("within_epochs"))
 
 
 @query
@@ -567,8 +602,8 @@ def evaluation_report(spark, sf_dir):
 
 @query
 def write_task(spark, sf_dir):
-    base = stand_in(spark, sf_dir).select("doc_id", "prediction", "probability")
-    done = P.rename_result(base.join(posts(spark, sf_dir).select("doc_id", "data"), "doc_id"), "spam")
+    rows = with_stand_in(posts(spark, sf_dir)).select("doc_id", "prediction", "probability", "data")
+    done = P.rename_result(rows, "spam")
     path = IO.write_task(done, fresh_path(spark, "predictions"), "spam", "stories")
     return rounded(IO.read_posts(spark, path, schema=done.schema), "spam_prob")
 
@@ -590,15 +625,11 @@ def write_split(spark, sf_dir):
 
 @query
 def model_roundtrip(spark, sf_dir):
+    """A saved and loaded naive Bayes scores all posts."""
     folder = fresh_path(spark, "models")
-    rows = durable(labelled_tokens(spark, sf_dir), "labelled")
-    save_model(fit_nb(rows, "hatespeech"), folder, "hatespeech", spark)
-    save_model(fit_logreg(rows, CONFIG, "hatespeech"), folder, "selfharm", spark)
-    made = [
-        score_task(rows, load_model(folder, t, spark), "hatespeech").select(F.lit(t).alias("task"), "doc_id", "hatespeech_pred")
-        for t in ("hatespeech", "selfharm")
-    ]
-    return R.concat(*made)
+    save_model(fit_nb(labelled_tokens(spark, sf_dir), "hatespeech"), folder, "hatespeech", spark)
+    scored = score_task(posts(spark, sf_dir), load_model(folder, "hatespeech", spark), "hatespeech")
+    return rounded(scored.select("doc_id", "hatespeech_pred", "hatespeech_prob"), "hatespeech_prob")
 
 
 # --- files by name ---------------------------------------------------------

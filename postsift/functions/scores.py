@@ -17,10 +17,24 @@ def _as_column(c: Column | str) -> Column:
 
 def softmax(scores: Column | str) -> Column:
     """Array of raw class scores to array of probabilities."""
-    scores = _as_column(scores)
-    top = F.array_max(scores)
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s - top))
-    return F.transform(scores, lambda s: F.exp(s - top) / total)
+
+    def shares(raw: Column) -> Column:
+        def over(top: Column) -> Column:
+            powers = F.transform(raw, lambda s: F.exp(s - top))
+            return _once(F.struct(powers.alias("p"), F.aggregate(powers, F.lit(0.0), lambda a, x: a + x).alias("t")), _divided)
+
+        return _once(F.array_max(raw), over)
+
+    return _once(_as_column(scores), shares)
+
+
+def _divided(parts: Column) -> Column:
+    return F.transform(parts["p"], lambda x: x / parts["t"])
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def argmax(scores: Column | str) -> Column:
@@ -35,9 +49,9 @@ def argmax_confidence(scores: Column | str) -> Column:
     The probability is the confidence in the predicted class, so it is at
     least one half with two classes.
     """
-    return F.struct(
-        argmax(scores).alias("prediction"),
-        F.array_max(softmax(scores)).alias("probability"),
+    return _once(
+        _as_column(scores),
+        lambda raw: F.struct(argmax(raw).alias("prediction"), F.array_max(softmax(raw)).alias("probability")),
     )
 
 

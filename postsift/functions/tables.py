@@ -201,93 +201,16 @@ SENTIMENT = {word: float(weight) for word, weight in pairs(SENTIMENT_TEXT)}
 
 
 # --- symbols ---------------------------------------------------------------
-# A code point is isolated (a space is put on both sides), deleted (turned
-# into a space) or kept. The rule goes by Unicode block: signs of the basic
-# plane are isolated; controls, odd spaces, private use, scripts other than
-# Latin and everything beyond the basic plane (emoji, styled letters) are
-# deleted; Latin text, digits and apostrophes are kept.
-
-ISOLATE_BLOCKS = [
-    (0x00A1, 0x00A5), (0x00A7, 0x00A9), (0x00AB, 0x00AC), (0x00AE, 0x00BF),
-    (0x00D7, 0x00D7), (0x00F7, 0x00F7),  # Latin-1 signs
-    (0x0250, 0x02AF),  # phonetic letters
-    (0x02B0, 0x02FF),  # modifier letters
-    (0x2013, 0x2017), (0x201A, 0x2027), (0x2030, 0x205E),  # punctuation
-    (0x2070, 0x209F),  # super- and subscripts
-    (0x20A0, 0x20CF),  # currency
-    (0x2100, 0x214F),  # letter-like signs
-    (0x2150, 0x218F),  # number forms
-    (0x2190, 0x21FF),  # arrows
-    (0x2200, 0x22FF),  # mathematical operators
-    (0x2300, 0x23FF),  # technical
-    (0x2500, 0x259F),  # boxes and blocks
-    (0x25A0, 0x25FF),  # geometric shapes
-    (0x2600, 0x26FF),  # miscellaneous signs
-    (0x2700, 0x27BF),  # dingbats
-    (0x2800, 0x28FF),  # braille
-    (0x2B00, 0x2BFF),  # more arrows and stars
-    (0xFB00, 0xFB06),  # Latin ligatures
-    (0xFF01, 0xFFEF),  # full-width forms
-]
-
-DELETE_BLOCKS = [
-    (0x0000, 0x001F), (0x007F, 0x009F),  # controls
-    (0x00A0, 0x00A0), (0x00AD, 0x00AD),  # hard space, soft hyphen
-    (0x0370, 0x1CFF),  # Greek, Cyrillic, Hebrew, Arabic, Indic, and so on
-    (0x1D00, 0x1DBF),  # phonetic extensions
-    (0x1F00, 0x1FFF),  # extended Greek
-    (0x2000, 0x2012), (0x2028, 0x202F), (0x205F, 0x206F),  # spaces, hyphens
-    (0x2900, 0x297F), (0x2980, 0x29FF),  # supplemental arrows and signs
-    (0x2C80, 0x2CFF),  # Coptic
-    (0x3000, 0x9FFF),  # CJK, kana
-    (0xAC00, 0xD7AF),  # Hangul
-    (0xE000, 0xF8FF),  # private use
-    (0xFB07, 0xFDFF), (0xFE70, 0xFEFF),  # Hebrew and Arabic forms
-    (0xFE00, 0xFE0F),  # variation selectors
-    (0xFFFC, 0xFFFD),  # object and replacement marks
-    (0x10000, 0x10FFFF),  # all other planes
-]
-
-# Code points that go against the rule for their block.
-ISOLATE_ANYWAY = (
-    "\x80\x91\x92\x96"
-    "αβγδεηθλμνπρστφωΔΦΩ"
-    "Вавси۩۞؟๏"
-    "年月例の・、。ǀǫ"
-    "̶̲̣̱̄̅́͡"
+# The default rule goes by the general category of a code point, in notation
+# that the regular expressions of Java and RE2 share. Letters, marks and digits
+# of all scripts are kept. Deleted are controls, formats, private use and odd
+# blanks, and the planes of styled letters and emoji; isolated are punctuation,
+# signs and numbers that are no digits. Exact lists can be passed in place.
+
+DELETE_CLASS = (
+    r"\p{Cc}\p{Cf}\p{Co}\p{Zl}\p{Zp}"
+    r"\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"  # blanks but the plain one
+    r"\x{fe00}-\x{fe0f}"  # variation selectors
+    r"\x{1d400}-\x{1d7ff}\x{1f000}-\x{1faff}"  # styled letters, emoji
 )
-DELETE_ANYWAY = (
-    "ʏʀɴʜʟʙɢɩɜʖʁʲʳʰʷʸˢ"
-    "‼⁉₽₵ℐℋℯℴ↴⊘⏺⏏⏰⏖⎌╌▱"
-    "⛽⛲⛺⛸⛷⛓⛑⚲⚭⚆♾♲☘❔➕⬭⬯ﬃ"
-    "ＨＷＮＧｙｅｌｈｇｒｎｔｉｄｕｆｂｋ"
-    "͟͞͝͏̯ͦ͜"
-)
-
-
-def _without(blocks, points):
-    """The blocks with single code points taken out."""
-    out = []
-    for first, last in blocks:
-        start = first
-        for point in sorted(p for p in points if first <= p <= last):
-            if point > start:
-                out.append((start, point - 1))
-            start = point + 1
-        if start <= last:
-            out.append((start, last))
-    return out
-
-
-def _ranges(blocks, extra, removed):
-    singles = [(ord(ch), ord(ch)) for ch in extra]
-    return sorted(_without(blocks, {ord(ch) for ch in removed}) + singles)
-
-
-ISOLATE_RANGES = _ranges(ISOLATE_BLOCKS, ISOLATE_ANYWAY, DELETE_ANYWAY)
-DELETE_RANGES = _ranges(DELETE_BLOCKS, DELETE_ANYWAY, ISOLATE_ANYWAY)
-
-
-def character_class(ranges) -> str:
-    """Inside of a regex class; the notation is common to Java and RE2."""
-    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+ISOLATE_CLASS = r"\p{P}\p{S}\p{No}"  # without apostrophes, straight or curly

@@ -9,22 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postsift.functions.tables import (
-    CONTRACTIONS,
-    DELETE_RANGES,
-    ISOLATE_RANGES,
-    MASKED_WORDS,
-    character_class,
-)
+from postsift.functions.tables import CONTRACTIONS, DELETE_CLASS, ISOLATE_CLASS, MASKED_WORDS
 
 # Latin letters are by far the most common code points beyond ASCII and are
 # always kept. Only texts with something rarer than that meet the long classes.
 _RARE = r"[\x{80}-\x{bf}\xd7\xf7\x{180}-\x{10ffff}]"
-_ABOVE_ASCII = [(a, b) for a, b in DELETE_RANGES if a > 0x7F]
 _DELETE_ASCII = r"[\x00-\x1f\x7f]"
-_DELETE_ANY = rf"{_DELETE_ASCII}|(?={_RARE})[{character_class(_ABOVE_ASCII)}]"
+_DELETE_ANY = rf"{_DELETE_ASCII}|(?={_RARE})[{DELETE_CLASS}]"
 _ISOLATE_ASCII = r"[!-&(-/:-@\[-`{-~]"
-_ISOLATE_ANY = rf"{_ISOLATE_ASCII}|(?={_RARE})[{character_class(ISOLATE_RANGES)}]"
+_ISOLATE_ANY = rf"{_ISOLATE_ASCII}|(?={_RARE})(?![‘’])[{ISOLATE_CLASS}]"
 
 
 def _as_column(c: Column | str) -> Column:
@@ -141,6 +134,7 @@ def normalize_text(
     c: Column | str,
     demask_first: bool = False,
     contractions=CONTRACTIONS,
+    masks=MASKED_WORDS,
     delete: str | None = None,
     isolate: str | None = None,
 ) -> Column:
@@ -151,7 +145,7 @@ def normalize_text(
     """
     text = lower_case(c)
     if demask_first:
-        text = demask(text)
+        text = demask(text, masks)
     text = expand_contractions(text, contractions)
     if delete is None and isolate is None:
         text = _space_symbols(text)

@@ -5,12 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postsift.functions import text as T
-from postsift.functions.tables import (
-    CONTRACTIONS,
-    DELETE_RANGES,
-    ISOLATE_RANGES,
-    MASKED_WORDS,
-)
+from postsift.functions.tables import CONTRACTIONS, MASKED_WORDS
 from postsift.operators.rows import drop_short, head_tail, normalize_rows, show_tokens, with_tokens
 
 
@@ -31,8 +26,9 @@ NORMALIZED = {
     "tab\there\r\n\nnl": "tab here nl",
     "": "",
     "'": "",
-    "Привет мир": " и в и ",
-    "日本 エンジ": " ",
+    "Привет мир": "привет мир",
+    "日本 エンジ": "日本 エンジ",
+    "ภาษาไทย, 한국어!": "ภาษาไทย , 한국어 ! ",
     " i'm i'm i'm ": " i am i'm i am ",
     "it's a dog's life, it's ok": "it's a dog's life , it is ok",
     "end'": "en",
@@ -69,19 +65,20 @@ def test_no_value_holds_a_key():
     assert not any(keys & set(v.split()) for _, v in CONTRACTIONS)
 
 
-def test_every_symbol_of_the_rule(spark):
-    edges = sorted({p for r in ISOLATE_RANGES for p in r})
-    out = apply(spark, [f"a{chr(p)}b" for p in edges], T.isolate_symbols)
-    assert out == [f"a {chr(p)} b" for p in edges]
-    edges = sorted({p for r in DELETE_RANGES for p in r})
-    out = apply(spark, [f"a{chr(p)}b" for p in edges], T.delete_symbols)
-    assert out == ["a b"] * len(edges)
+ISOLATED = "!#*-/:]^_~…™€«»¿×÷±→∞■☆♥✓“”„–—•·°©®²½①～｡・。、"
+DELETED = "\n\r\t\x00\x7f\x9f\xa0\xad\u200b\u200d\u2003\u2028\ufeff\ufe0f\ue000\uf8ff😁🐵🇺🇸𝘊𝟗\U000e0041"
 
 
-def test_the_two_rules_are_disjoint():
-    deleted = [(a, b) for a, b in DELETE_RANGES]
-    for first, last in ISOLATE_RANGES:
-        assert not any(a <= last and first <= b for a, b in deleted)
+def test_symbols_of_the_rule(spark):
+    assert apply(spark, [f"a{c}b" for c in ISOLATED], T.isolate_symbols) == [f"a {c} b" for c in ISOLATED]
+    assert apply(spark, [f"a{c}b" for c in DELETED], T.delete_symbols) == ["a b"] * len(DELETED)
+
+
+def test_letters_marks_and_digits_of_all_scripts_are_kept(spark):
+    texts = ["ภาษาไทย", "한국어 글", "日本 エンジ", "हिन्दी में", "Привет мир", "العربية", "עברית", "ქართული", "αβγ ΔΩ", "ḷṑẽệ ꜥ ƽ", "٣४"]
+    assert apply(spark, texts, lambda c: T.isolate_symbols(T.delete_symbols(c))) == texts
+    kept = normalize_rows(spark.createDataFrame([(t,) for t in texts], "data string"))
+    assert kept.count() == len(texts)
 
 
 def test_kept_characters(spark):
@@ -147,8 +144,7 @@ def test_normalisation_runs_once_below_a_filter(spark):
 def test_what_holds_for_any_text(spark):
     """Random texts of letters, signs and odd code points, in any partitions."""
     rng = random.Random(5)
-    isolated = {p for r in ISOLATE_RANGES for p in r} | {ord(c) for c in "!#*-/:]^_~"}
-    deleted = {p for r in DELETE_RANGES for p in r}
+    isolated, deleted = {ord(c) for c in ISOLATED}, {ord(c) for c in DELETED}
     letters = "abc dé'ñ" + "  " + "'im dont it's "
     alphabet = [*letters, *map(chr, sorted(isolated)), *map(chr, sorted(deleted))]
     weights = [40] * len(letters) + [1] * (len(alphabet) - len(letters))
