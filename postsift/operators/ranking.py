@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsift.operators.evaluate import class_counts
+from postsift.sources.durable import durable
 
-DIGITS = 4  # hex digits of the order key looked at per step: 65,536 counts
-EXACT_ROWS = 1_000_000  # a prefix with no more rows than this is ranked exactly
 COPIES_PER_ROW = 100_000  # exact copies written out by one row of work
 
 
@@ -96,51 +95,34 @@ def _any(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
-def _closing(counts: DataFrame, need: Mapping[int, int]) -> dict[int, tuple[str, int, int]]:
-    """Per class the first ``part`` where the running count meets the need.
+def find_cuts(keys: DataFrame, need: Mapping[int, int]) -> dict[int, Cut]:
+    """Closing keys for ``keys(label, ord)``; each need is within its class.
 
-    ``counts`` has at most 65,536 parts per class, or EXACT_ROWS keys.
+    Three passes whatever the keys are: equal keys are counted and sorted by
+    range over the tasks; sums by part tell in which part each quota closes;
+    only these parts, one per class, are then gone through in order. A part
+    holds each distinct key once, so shared keys and prefixes do not swell it.
     """
-    running = Window.partitionBy("label").orderBy("part")
-    upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    wanted = _any([(F.col("label") == v) & (F.col("upto") >= q) & (F.col("upto") - F.col("n") < q) for v, q in need.items()])
-    rows = counts.withColumn("upto", upto).where(wanted).collect()  # one row per class
-    return {r["label"]: (r["part"], r["n"], r["upto"] - r["n"]) for r in rows}
-
-
-def find_cuts(keys: DataFrame, need: Mapping[int, int]) -> dict[int, Cut]:
-    """Closing keys for ``keys(label, ord)``; each need is within its class."""
-    need, prefix, cuts = dict(need), {v: "" for v in need}, {}
-    exact: set[int] = set()
-    while need:
-        inside = _any([(F.col("label") == v) & F.col("ord").startswith(prefix[v]) for v in need])
-        length = _per_class({v: len(prefix[v]) + DIGITS for v in need})
-        part = F.col("ord").substr(F.lit(1), length)
-        if exact:
-            whole = F.col("label").isin(*exact)
-            part = F.when(whole, F.col("ord")).otherwise(part)
-        counts = keys.where(inside).groupBy("label", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-        closing = _closing(counts, need)
-        if len(closing) < len(need):
-            raise RuntimeError("the rows changed while they were counted")
-        for value, (found, n, before) in closing.items():
-            rest = need[value] - before
-            if value in exact or len(found) < len(prefix[value]) + DIGITS:
-                cuts[value] = Cut(found, rest, n)
-                del need[value]
-            else:
-                need[value], prefix[value] = rest, found
-                if n <= EXACT_ROWS:
-                    exact.add(value)
-    return cuts
-
-
-def _per_class(values: Mapping[int, int]) -> Column:
-    pairs = list(values.items())
-    out = F.lit(pairs[-1][1])
-    for v, n in pairs[:-1]:
-        out = F.when(F.col("label") == v, n).otherwise(out)
-    return out
+    counted = keys.where(F.col("label").isin(*need)).groupBy("label", "ord").agg(F.count(F.lit(1)).alias("n"))
+    dealt = durable(counted.repartitionByRange("label", "ord").withColumn("part", F.spark_partition_id()), "ranges")
+    sums = dealt.groupBy("label", "part").agg(F.sum("n").alias("n")).collect()  # one row per part and class
+    inside, before = {}, {}
+    for value, wanted in need.items():
+        upto = 0
+        for row in sorted((r for r in sums if r["label"] == value), key=lambda r: r["part"]):
+            if upto + row["n"] >= wanted:
+                inside[value], before[value] = row["part"], upto
+                break
+            upto += row["n"]
+    if len(inside) < len(need):
+        raise RuntimeError("the rows changed while they were counted")
+    rows = dealt.where(_any([(F.col("label") == v) & (F.col("part") == p) for v, p in inside.items()]))
+    running = Window.partitionBy("label").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum("n").over(running))
+    rest = {v: q - before[v] for v, q in need.items()}
+    closing = _any([(F.col("label") == v) & (F.col("upto") >= q) & (F.col("upto") - F.col("n") < q) for v, q in rest.items()])
+    found = rows.where(closing).collect()  # one row per class
+    return {r["label"]: Cut(r["ord"], rest[r["label"]] - (r["upto"] - r["n"]), r["n"]) for r in found}
 
 
 def mark_first(

@@ -12,7 +12,6 @@ from postsift.operators.evaluate import class_counts
 from postsift.operators.ranking import (
     key_order,
     mark_first,
-    row_key,
     row_order,
     seeded_key,
     seeded_order,
@@ -33,10 +32,11 @@ def sample_per_class(df: DataFrame, n: float | str, key: str, label: str = "labe
 def shuffle(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """All rows in a reproducible random order.
 
-    A distributed sort. Rows with the same key are ordered by what else they
-    hold and then by where they were read, so that copies spread out, too.
+    A distributed sort. Rows with the same key are ordered by a hash of what
+    else they hold, and then by where they were read, so that copies spread
+    out, too.
     """
-    return df.orderBy(seeded_key(seed, key), row_key(df), F.monotonically_increasing_id())
+    return df.orderBy(seeded_key(seed, key), F.xxhash64(*df.columns), F.monotonically_increasing_id())
 
 
 def concat(*frames: DataFrame) -> DataFrame:

@@ -68,19 +68,21 @@ def test_sample_by_negative_numbers_and_by_strings(spark):
     assert sorted(r.id for r in R.sample_per_class(df, 40, "id").collect()) == sorted(expected)
 
 
-def test_refinement_by_prefix_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "EXACT_ROWS", 3)
-    df = labelled(spark, 3000, 500)
-    done = R.sample_per_class(df, 333, "id")
-    assert {r.id for r in done.collect()} == set(range(333)) | set(range(3000, 3333))
-
-
-def test_hot_key_with_different_rows(spark):
-    """A third of the rows share a key and differ in what they hold."""
-    rows = [(5, 0, f"t{i}") for i in range(100)] + [(i + 10, 0, "x") for i in range(200)]
-    df = spark.createDataFrame(rows, "id long, label int, data string")
-    done = R.sample_per_class(df, 40, "id").collect()
-    assert len(done) == 40 and {r.id for r in done} == {5} and len({r.data for r in done}) == 40
+def test_long_shared_prefixes_take_no_more_passes(spark, monkeypatch):
+    """Two written tables whatever the keys are, and the exact first rows."""
+    written = []
+    plain = ranking.durable
+    monkeypatch.setattr(ranking, "durable", lambda df, name: written.append(name) or plain(df, name))
+    for prefix in ("", "the same opening of every post, again and again " * 4):
+        rows = [(f"{prefix}{i % 90:03d}", i % 2, i) for i in range(300)]
+        df = spark.createDataFrame(rows, "key string, label int, n int")
+        written.clear()
+        for n in (1, 7, 100):
+            taken = R.sample_per_class(df, n, "key").collect()
+            for v in (0, 1):
+                expected = sorted(r[0] for r in rows if r[1] == v)[:n]
+                assert sorted(r.key for r in taken if r.label == v) == expected
+        assert len(written) <= 3 * 3
 
 
 def test_hot_group_of_copies(spark, monkeypatch):
