@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postsift.operators.logreg import LogReg
+
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """Share of rows whose label was predicted, as one row."""
@@ -62,9 +63,9 @@ def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def loss_history(model: PipelineModel) -> DataFrame:
+def loss_history(model: LogReg) -> DataFrame:
     """Objective by iteration of a fitted logistic regression."""
-    fitted = model.stages[-1]
+    fitted = model.pipeline.stages[-1]
     history = list(enumerate(float(v) for v in fitted.summary.objectiveHistory))
     spark = fitted.summary.predictions.sparkSession
     return spark.createDataFrame(history, "iteration int, loss double")

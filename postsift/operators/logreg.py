@@ -23,13 +23,25 @@ class LogRegConfig:
     """Settings of a task: passes over the data and the token cap."""
 
     epochs: int = 20
-    max_len: int | None = 256
+    max_len: int | None = None
     features: int = 1 << 18
     reg: float = 0.01
 
 
-def fit_logreg(df: DataFrame, cfg: LogRegConfig = LogRegConfig(), label: str = "label", tokens: str = "tokens") -> PipelineModel:
-    """Fit on the token column; the iterations read a written token table."""
+@dataclass(frozen=True)
+class LogReg:
+    """A fitted model, with the token cap that it was fitted under."""
+
+    pipeline: PipelineModel
+    max_len: int | None = None
+
+
+def fit_logreg(df: DataFrame, cfg: LogRegConfig = LogRegConfig(), label: str = "label", tokens: str = "tokens") -> LogReg:
+    """Fit on the token column; the iterations read a written token table.
+
+    Whole texts count unless the settings cap the tokens; the model then caps
+    what it scores in the same way.
+    """
     capped = F.col(tokens) if cfg.max_len is None else cap_tokens(tokens, cfg.max_len)
     known = df.where(F.col(label).isin(0, 1))
     rows = durable(known.select(F.col(label).alias("label"), capped.alias("__tokens")), "training-tokens")
@@ -46,13 +58,13 @@ def fit_logreg(df: DataFrame, cfg: LogRegConfig = LogRegConfig(), label: str = "
             regParam=cfg.reg,
         ),
     ]
-    return Pipeline(stages=stages).fit(rows)
+    return LogReg(Pipeline(stages=stages).fit(rows), cfg.max_len)
 
 
-def score_logreg(df: DataFrame, model: PipelineModel, tokens: str = "tokens", max_len: int | None = 256) -> DataFrame:
+def score_logreg(df: DataFrame, model: LogReg, tokens: str = "tokens") -> DataFrame:
     """Add ``prediction`` and ``probability``; a projection in the JVM."""
-    capped = F.col(tokens) if max_len is None else cap_tokens(tokens, max_len)
-    scored = model.transform(df.withColumn("__tokens", capped))
+    capped = F.col(tokens) if model.max_len is None else cap_tokens(tokens, model.max_len)
+    scored = model.pipeline.transform(df.withColumn("__tokens", capped))
     result = argmax_confidence(vector_to_array("__raw"))
     return scored.withColumn("__result", result).withColumns(
         {"prediction": F.col("__result.prediction"), "probability": F.col("__result.probability")}

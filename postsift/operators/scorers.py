@@ -7,15 +7,16 @@ from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.scores import argmax_confidence, log_odds_confidence
 from postsift.functions.tables import SENTIMENT
+from postsift.operators.naive_bayes import sum_by_list
 
 Scorer = Callable[[pd.Series], np.ndarray]
-LEXICON_WORDS = 10_000  # a lexicon is part of the plan, so it has to be small
 
 # Executors get the functions of this module with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -66,16 +67,21 @@ def score_arrow(df: DataFrame, load: Callable[[], Scorer], col: str = "data") ->
 
 def lexicon_sentiment(df: DataFrame, lexicon: Mapping[str, float] = SENTIMENT, tokens: str = "tokens") -> DataFrame:
     """Add ``sentiment_score``: the sum of the weights of known words, null
-    for a text without any."""
-    if len(lexicon) > LEXICON_WORDS:
-        raise ValueError(f"a lexicon may have at most {LEXICON_WORDS} words")
-    weights = F.create_map(*[F.lit(x) for word, w in lexicon.items() for x in (word, float(w))])
-    known = F.filter(F.col(tokens), lambda t: t.isin(*lexicon))
-    total = F.aggregate(F.col("__known"), F.lit(0.0), lambda acc, t: acc + weights[t])
+    for a text without any. The lexicon, of whatever size the caller can hold,
+    is broadcast once; words are looked up by hash, a batch at a time."""
+    words = pa.array(list(lexicon), pa.string())
+    weights = np.stack([np.array(list(lexicon.values()), float), np.ones(len(lexicon))])
+    shared = df.sparkSession.sparkContext.broadcast((words, weights))
+
+    @F.arrow_udf("array<double>")
+    def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            yield sum_by_list(lists, *shared.value)[0]
+
     return (
-        df.withColumn("__known", known)
-        .withColumn("sentiment_score", F.when(F.size("__known") > 0, total))
-        .drop("__known")
+        df.withColumn("__sums", summed(F.col(tokens)))
+        .withColumn("sentiment_score", F.when(F.col("__sums")[1] > 0, F.col("__sums")[0]))
+        .drop("__sums")
     )
 
 

@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from postsift.functions.tables import SENTIMENT
 from postsift.operators.fusion import fuse, selfharm_ensemble
-from postsift.operators.logreg import score_logreg
+from postsift.operators.logreg import LogReg, score_logreg
 from postsift.operators.naive_bayes import NaiveBayes, score_nb, score_nb_tasks
 from postsift.operators.rows import normalize_rows, rename_result, with_tokens
 from postsift.operators.scorers import score_arrow, score_sentiment
 
-Model = NaiveBayes | PipelineModel | Callable
+Model = NaiveBayes | LogReg | Callable
 
 
 def score(df: DataFrame, model: Model) -> DataFrame:
     """Add ``prediction`` and ``probability`` with whatever kind of model."""
     if isinstance(model, NaiveBayes):
         return score_nb(df, model).drop("log_odds")
-    if isinstance(model, PipelineModel):
+    if isinstance(model, LogReg):
         return score_logreg(df, model)
     if callable(model):
         return score_arrow(df, model).drop("score_error")

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from postsift.operators.logreg import LogRegConfig, fit_logreg
+from postsift.operators.logreg import LogReg, LogRegConfig, fit_logreg
 from postsift.operators.naive_bayes import NaiveBayes, fit_nb
 from postsift.operators.rows import with_tokens
 from postsift.operators.sampling import sample_per_class
 from postsift.sources.models import save_model
 
-Model = NaiveBayes | PipelineModel
+Model = NaiveBayes | LogReg
 
 
 def fit_task(
@@ -43,7 +42,11 @@ def fit_task(
 
 
 def fit_all(frames: Mapping[str, DataFrame], models: Mapping[str, str], **options) -> dict[str, Model]:
-    """Train every task on its own frame; ``models`` names the kind of each."""
+    """Train every task on its own frame; ``models`` names the kind of each.
+
+    Where the tasks are labels of one frame, ``fit_nb_tasks`` counts for all
+    of them in one pass.
+    """
     return {
         task: fit_task(df, models.get(task, "nb"), task=task, **options)
         for task, df in frames.items()

@@ -5,7 +5,7 @@ Ties the operators to a layout of folders, for work by logical names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +41,7 @@ class Settings:
     config: LogRegConfig = LogRegConfig()
 
 
-# Spam goes with the counting model, the other two with the regression; the
-# regression looks at the first 256 tokens of a text.
+# Spam goes with the counting model, the other two with the regression.
 DEFAULTS = {"spam": Settings("nb"), "hatespeech": Settings("logreg"), "selfharm": Settings("logreg")}
 
 
@@ -50,7 +49,10 @@ DEFAULTS = {"spam": Settings("nb"), "hatespeech": Settings("logreg"), "selfharm"
 class Workspace:
     """``tasks`` holds a file or folder ``<task>`` per task, ``sets`` the
     training and test sets, ``models`` a model per task, ``results`` the
-    predictions; ``stories`` is the file of posts to score."""
+    predictions; ``stories`` is the file of posts to score. ``key`` seeds the
+    random order of splits; ``order`` is the column by which the first rows of
+    a class are taken, such as their place in a file. ``multi_line`` says that
+    fields of CSV files hold newlines, so that a file cannot be split."""
 
     spark: SparkSession
     tasks: str
@@ -61,6 +63,8 @@ class Workspace:
     fmt: str = "csv"
     settings: Mapping[str, Settings] = field(default_factory=lambda: dict(DEFAULTS))
     key: str = "data"
+    order: str | None = None
+    multi_line: bool = True
     task_schema: object = TASK_SCHEMA
     story_schema: object = STORY_SCHEMA
 
@@ -68,18 +72,22 @@ class Workspace:
         """``train_set``, ``test_set``, ``stories``, or whatever path."""
         if name in SET_NAMES:
             path = f"{self.sets}/{task}_sets/split={SET_NAMES[name]}"
-            df = read_task(self.spark, path, self.fmt, self.task_schema)
+            df = read_task(self.spark, path, self.fmt, self.task_schema, self.multi_line)
         elif name == "stories":
-            df = read_stories(self.spark, self.stories, self.fmt, self.story_schema)
+            df = read_stories(self.spark, self.stories, self.fmt, self.story_schema, self.multi_line)
         else:
-            df = read_posts(self.spark, name, self.fmt, self.story_schema)
-        return sample_per_class(df, num_samples, self.key)
+            df = read_posts(self.spark, name, self.fmt, self.story_schema, self.multi_line)
+        if num_samples == "all":
+            return df
+        if self.order is None:
+            raise ValueError("set `order` to the column by which the first rows of a class are taken")
+        return sample_per_class(df, num_samples, self.order)
 
     def split(self, p: float, seed: int = 0, tasks: Iterable[str] = TASKS) -> dict[str, DataFrame]:
         """Write the training and test set of each task."""
         sets = {}
         for task in tasks:
-            df = read_task(self.spark, f"{self.tasks}/{task}", self.fmt, self.task_schema)
+            df = read_task(self.spark, f"{self.tasks}/{task}", self.fmt, self.task_schema, self.multi_line)
             sets[task] = split_task(df, p, self.key, seed)
             write_split(sets[task], self.sets, task, self.fmt)
         return sets
@@ -100,10 +108,13 @@ class Workspace:
         num_samples: float | str = "all",
         save: bool = True,
         lexicon: Mapping[str, float] = SENTIMENT,
+        sentiment: Callable | None = None,
+        model: Model | Callable | None = None,
     ) -> DataFrame:
-        """Score a set, stories or a frame for one task."""
+        """Score a set, stories or a frame for one task, with its saved model or a given one."""
         df = self.load(data, task, num_samples) if isinstance(data, str) else data
-        scored = score_task(df, load_model(self.models, task, self.spark), task, lexicon=lexicon)
+        model = load_model(self.models, task, self.spark) if model is None else model
+        scored = score_task(df, model, task, lexicon=lexicon, sentiment=sentiment)
         if not save:
             return scored
         name = data if isinstance(data, str) and data in (*SET_NAMES, "stories") else None
@@ -124,8 +135,12 @@ class Workspace:
         save: bool = False,
         normalize: bool = False,
         lexicon: Mapping[str, float] = SENTIMENT,
+        sentiment: Callable | None = None,
+        spam_min_prob: float | None = None,
+        floor: float = 0.51,
+        models: Mapping[str, Model | Callable] | None = None,
     ) -> DataFrame:
-        """Posts to verdicts with the saved models of all three tasks.
+        """Posts to verdicts with the saved models of all three tasks, or given ones.
 
         Files are taken to be normalised, unless ``normalize`` says that it
         is to be done; texts given as a list always are normalised.
@@ -134,8 +149,9 @@ class Workspace:
             df, normalize = from_texts(self.spark, data), False
         else:
             df = self.load(data, None, num_samples) if isinstance(data, str) else data
-        models = {task: load_model(self.models, task, self.spark) for task in TASKS}
-        verdicts = moderate(df, models, lexicon, normalize=normalize)
+        given = models or {}
+        used = {task: given[task] if task in given else load_model(self.models, task, self.spark) for task in TASKS}
+        verdicts = moderate(df, used, lexicon, sentiment, normalize, spam_min_prob, floor)
         if not save:
             return verdicts
         path = write_fused(verdicts, self.results, self.fmt)

@@ -5,31 +5,33 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from postsift.operators.logreg import LogReg
 from postsift.operators.naive_bayes import NaiveBayes
 
+ABOUT = "kind string, prior double, max_len int"
 
-def save_model(model: NaiveBayes | PipelineModel, folder: str, task: str, spark: SparkSession | None = None) -> str:
+
+def save_model(model: NaiveBayes | LogReg, folder: str, task: str, spark: SparkSession | None = None) -> str:
     """Save a model as ``folder/task``; the three tasks lie side by side."""
     spark = spark or SparkSession.getActiveSession()
     path = f"{folder.rstrip('/')}/{task}"
     if isinstance(model, NaiveBayes):
-        kind, prior = "nb", model.prior
+        about = ("nb", model.prior, None)
         model.weights.write.mode("overwrite").parquet(f"{path}/nb")
-    elif isinstance(model, PipelineModel):
-        kind, prior = "logreg", None
-        model.write().overwrite().save(f"{path}/logreg")
+    elif isinstance(model, LogReg):
+        about = ("logreg", None, model.max_len)
+        model.pipeline.write().overwrite().save(f"{path}/logreg")
     else:
         raise ValueError(f"cannot save a {type(model).__name__}")
-    about = spark.createDataFrame([(kind, prior)], "kind string, prior double")
-    about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    spark.createDataFrame([about], ABOUT).coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
     return path
 
 
-def load_model(folder: str, task: str, spark: SparkSession | None = None) -> NaiveBayes | PipelineModel:
+def load_model(folder: str, task: str, spark: SparkSession | None = None) -> NaiveBayes | LogReg:
     spark = spark or SparkSession.getActiveSession()
     path = f"{folder.rstrip('/')}/{task}"
-    about = spark.read.schema("kind string, prior double").parquet(f"{path}/about").first()
+    about = spark.read.schema(ABOUT).parquet(f"{path}/about").first()
     if about["kind"] == "nb":
         weights = spark.read.schema("token string, weight double, n bigint").parquet(f"{path}/nb")
         return NaiveBayes(weights, about["prior"])
-    return PipelineModel.load(f"{path}/logreg")
+    return LogReg(PipelineModel.load(f"{path}/logreg"), about["max_len"])

@@ -21,7 +21,7 @@ def work(spark, tmp_path_factory):
     stories = spark.createDataFrame(posts, "data string, label int, story_id string")
     stories.write.options(**CSV_WRITE_OPTIONS).csv(f"{home}/stories")
     settings = {task: Settings("nb") for task in WORDS} | {"hatespeech": Settings("logreg")}
-    space = Workspace(spark, *[f"{home}/{d}" for d in ("tasks", "sets", "models", "results", "stories")], settings=settings)
+    space = Workspace(spark, *[f"{home}/{d}" for d in ("tasks", "sets", "models", "results", "stories")], settings=settings, order="data")
     space.split(0.8, seed=1)
     space.train_all()
     return space
