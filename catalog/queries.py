@@ -40,7 +40,7 @@ from postsift.plans.workspace import Settings, Workspace
 from postsift.sources import posts as IO
 from postsift.sources.durable import durable, fresh_path
 from postsift.sources.models import load_model, save_model
-from postsift.streaming.posts import stream_posts, write_stream
+from postsift.streaming.posts import stream_posts, write_batches, write_stream
 
 # The scorer below goes to executors that have no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -548,6 +548,22 @@ def streamed_verdicts(spark, sf_dir):
     return rounded(back, *[c for c in back.columns if c.endswith("prob") or c.endswith("probability")])
 
 
+@query
+def streamed_large_model(spark, sf_dir):
+    """A stream scored, batch by batch, with a model of which a thousand tokens are broadcast."""
+    model = fit_nb(labelled_tokens(spark, sf_dir), "hatespeech")
+    stream = stream_posts(spark, sf_dir, schema=SCHEMAS["documents"], pathGlobFilter="documents.parquet")
+    stream = P.with_tokens(stream.select("doc_id", F.col("text").alias("data")))
+    out = fresh_path(spark, "stream")
+
+    def scored(batch):
+        return score_nb(batch, model, broadcast_tokens=1000).select("doc_id", "log_odds", "prediction", "probability")
+
+    write_batches(stream, scored, f"{out}/verdicts", f"{out}/state").awaitTermination()
+    back = spark.read.schema("doc_id bigint, log_odds double, prediction int, probability double").parquet(f"{out}/verdicts/batch=*")
+    return rounded(back, "log_odds", "probability")
+
+
 # --- evaluation ------------------------------------------------------------
 
 

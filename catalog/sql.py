@@ -281,6 +281,7 @@ SQL = {
     "nb_fit": with_words(nb("hatespeech")) + NB_WEIGHTS.format("hatespeech"),
     "nb_score": HATE + NB_RESULT.format("hatespeech"),
     "nb_score_per_token": with_words(nb_scored("spam", True)) + NB_RESULT.format("spam"),
+    "streamed_large_model": HATE + NB_RESULT.format("hatespeech"),
     "nb_score_join": HATE + NB_RESULT.format("hatespeech"),
     "argmax_softmax": BASE
     + "SELECT doc_id, (hatespeech_prob > spam_prob)::INTEGER AS prediction,"

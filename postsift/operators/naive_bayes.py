@@ -134,7 +134,7 @@ def log_odds(
         summed = df.withColumn("__sums", _summed_weights(hot, tasks, rest=False)(F.col(tokens)))
         sums = {t: F.col("__sums")[i] for i, t in enumerate(tasks)}
     elif df.isStreaming:
-        raise ValueError("the model is too large to score a stream with; use foreachBatch")
+        raise ValueError("the model is too large to score a stream as it is; use streaming.posts.write_batches")
     else:
         first = df.withColumn("__hot", _summed_weights(hot, tasks, rest=True)(F.col(tokens)))
         summed = _joined_weights(first, cold, tasks, tokens)

@@ -36,6 +36,8 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+FEW_SPLITS = 16
+
 # The names of result files.
 TASK_NAME, TASK_SET_NAME, FUSED_NAME = "only_{task}", "only_{task}_{set_name}", "all_toxicity"
 
@@ -81,15 +83,16 @@ def from_texts(spark: SparkSession, texts: Iterable[str] | DataFrame) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when an input has fewer splits than there are cores.
+    """Use all cores for an input of a few splits, such as one small file.
 
-    Text work is heavy on the processor, and a small file is one task. Inputs
-    with enough splits, as all large ones, pass through without a shuffle.
-    Call it on what was just read: to count the splits of a frame with a
-    shuffle in it, Spark would have to run that shuffle.
+    Text work is heavy on the processor, and a small file is one task. What is
+    shuffled is at most FEW_SPLITS splits, however many cores there are; all
+    other inputs pass through as they are. Call it on what was just read: to
+    count the splits of a frame with a shuffle in it, Spark would have to run
+    that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.isStreaming or df.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
         return df
     return df.repartition(cores)
 

@@ -6,6 +6,8 @@ plan serves for a stream as it is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,3 +31,16 @@ def write_stream(df: DataFrame, folder: str, checkpoint: str, fmt: str = "parque
         .trigger(availableNow=True)
         .start()
     )
+
+
+def write_batches(
+    df: DataFrame, each: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str, fmt: str = "parquet"
+) -> StreamingQuery:
+    """As :func:`write_stream`, but what has arrived goes through ``each`` as a
+    batch. That allows any plan, such as the join that scores with models too
+    large to be broadcast. A batch that is run again writes the same place."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        each(batch).write.format(fmt).mode("overwrite").save(f"{folder}/batch={number}")
+
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
