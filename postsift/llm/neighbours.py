@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DIMENSIONS = 8  # of the projection
-CONFIDENCE = 0.98
-BLOCK_ROWS = 16_384  # vectors in a kd-tree
+CONFIDENCE = 0.95
+BLOCK_ROWS = 8_192  # vectors in a kd-tree
 BLOCK_QUERIES = 4_096  # queries that meet a block at a time
 LEAF = 32
 SEED = 20_240_601
