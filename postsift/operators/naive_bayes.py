@@ -20,14 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.scores import log_odds_confidence, log_odds_prediction
-from postsift.operators.rows import compute_once
 from postsift.sources.durable import durable
 
 # Bounds of what goes to every executor. Of a larger model that is the part
 # with the most frequent tokens, and the other tokens are joined.
 BROADCAST_TOKENS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32  # parts into which each token is split in the join
 
 # Executors get the functions of this module with the task and need no copy
 # of the package.
@@ -190,23 +188,20 @@ def sum_by_list(lists: pa.Array, vocabulary: pa.Array, weights: np.ndarray) -> t
 def _joined_weights(df: DataFrame, cold: DataFrame, tasks: list[str], tokens: str) -> DataFrame:
     """Add ``__sums`` over the tokens left over, by way of a join.
 
-    Texts are told apart by their tokens, so copies are scored once and rows
-    need no key. Each token is split into salted parts, in case one that was
-    rare in training is common here. Where one text has many copies, adaptive
-    execution splits them in the last join: its other side has one row per
-    text.
+    The rows are written once, with what the frequent tokens sum up to, so
+    that they are normalised once and have a number of their own. Only numbers
+    and left-over tokens go through the join; a token that was rare in
+    training and is common here is split by adaptive execution, as both sides
+    of the join are plain shuffles. Rows with nothing left over meet no join.
     """
-    keyed = compute_once(df, "__text", F.unhex(F.sha2(F.array_join(tokens, " "), 256)))
-    texts = keyed.select("__text", F.col("__hot.rest").alias("rest")).dropDuplicates(["__text"])
-    words = texts.select(
-        "__text",
-        F.pmod(F.xxhash64("__text"), F.lit(SALTS)).cast("int").alias("__salt"),
-        F.explode("rest").alias("token"),
-    )
-    salted = cold.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    sums = words.join(salted, ["token", "__salt"]).groupBy("__text").agg(*[F.sum(t).alias(t) for t in tasks])
-    nested = sums.select("__text", F.struct(*tasks).alias("__sums"))
-    return keyed.join(nested, "__text", "left").drop("__text")
+    rows = durable(df.withColumn("__row", F.monotonically_increasing_id()), "summed")
+    words = rows.select("__row", F.explode("__hot.rest").alias("token"))
+    sums = words.join(cold, "token").groupBy("__row").agg(*[F.sum(t).alias(t) for t in tasks])
+    nested = sums.select("__row", F.struct(*tasks).alias("__sums"))
+    left = F.coalesce(F.size("__hot.rest"), F.lit(0)) > 0
+    none = F.lit(None).cast(nested.schema["__sums"].dataType)
+    joined = rows.where(left).join(nested, "__row", "left")
+    return joined.unionByName(rows.where(~left).withColumn("__sums", none)).drop("__row")
 
 
 def score_nb_tasks(
