@@ -28,6 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LANGUAGES = ("de", "en", "es", "fr")
 BUCKETS = 1 << 15
+SLICE = 1 << 20  # bytes of text worked on at a time
 EVIDENCE = 40  # trigrams that count as independent
 STRENGTH = 20.0  # rows that the smoothing of a host or a suffix is worth
 LEAST = 0.5  # probability below which a row is rejected
@@ -37,28 +38,40 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else 0x20 if c in SPACES else c for c in r
 
 
 def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of all byte trigrams, and the text of each. Digits, punctuation and repeated blanks count like other bytes."""
+    """The bucket of the trigram that starts at each byte of all texts, BUCKETS where it would
+    leave its text; and where the texts start and the last ends. All bytes count alike."""
     raw, offsets = text_bytes(texts)
-    if len(raw) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    data = np.frombuffer(LOWER, np.uint8)[raw].astype(np.uint32)
-    code = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
-    owner = np.searchsorted(offsets, np.arange(len(code)), "right") - 1
-    whole = np.arange(len(code)) + 3 <= offsets[owner + 1]
-    bucket = ((code * np.uint32(2654435761)) >> np.uint32(8)) % np.uint32(BUCKETS)
-    return bucket[whole].astype(np.int64), owner[whole]
+    bucket = np.full(len(raw), BUCKETS, np.int32)
+    if len(raw) > 2:
+        data = np.frombuffer(LOWER, np.uint8)[raw].astype(np.uint32)
+        code = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
+        bucket[:-2] = ((code * np.uint32(2654435761)) >> np.uint32(8)) % np.uint32(BUCKETS)
+    for back in (1, 2):
+        at = offsets[1:] - back
+        bucket[at[at >= 0]] = BUCKETS
+    return bucket, offsets
+
+
+def sums_by_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(offsets) - 1)
+    filled = np.diff(offsets) > 0
+    if filled.any():
+        out[filled] = np.add.reduceat(values, offsets[:-1][filled], dtype=np.float64)
+    return out
 
 
 def counter(languages: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages) + 1) * BUCKETS, np.int64)
+        width = BUCKETS + 1
+        counts = np.zeros((len(languages) + 1) * width, np.int64)
         place = {x: i for i, x in enumerate(languages)}
-        for batch in slices(batches, "text"):
-            buckets, owner = trigrams(batch.column("text"))
-            of = np.array([place.get(x, len(languages)) for x in batch.column("declared").to_pylist()], np.int64)
-            counts += np.bincount(of[owner] * BUCKETS + buckets, minlength=len(counts))
-        seen = np.flatnonzero(counts[: len(languages) * BUCKETS])
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["place", "n"])
+        for batch in slices(batches, "text", SLICE):
+            buckets, offsets = trigrams(batch.column("text"))
+            of = np.array([place.get(x, len(languages)) for x in batch.column("declared").to_pylist()], np.int32)
+            counts += np.bincount(np.repeat(of * width, np.diff(offsets)) + buckets, minlength=len(counts))
+        known = counts.reshape(-1, width)[: len(languages), :BUCKETS].ravel()
+        seen = np.flatnonzero(known)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(known[seen], pa.int64())], names=["place", "n"])
 
     return count
 
@@ -75,11 +88,11 @@ def fit_trigrams(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.
 
 def scorer(share: Broadcast, carried: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = share.value
-        for batch in slices(batches, "text"):
-            buckets, owner = trigrams(batch.column("text"))
-            n = np.bincount(owner, minlength=batch.num_rows)
-            sums = np.stack([np.bincount(owner, row[buckets], batch.num_rows) for row in table], axis=1)
+        table = np.pad(share.value, ((0, 0), (0, 1)))
+        for batch in slices(batches, "text", SLICE):
+            buckets, offsets = trigrams(batch.column("text"))
+            n = sums_by_text(buckets < BUCKETS, offsets).astype(np.int64)
+            sums = np.stack([sums_by_text(row[buckets], offsets) for row in table], axis=1)
             sums *= (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
             sums -= sums.max(axis=1, keepdims=True) if batch.num_rows else 0
             shares = np.exp(sums)

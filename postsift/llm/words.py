@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 WINDOW = 1 << 18  # bytes hashed at a time
-SLICE = 4 << 20  # bytes of text worked on at a time
+SLICE = 2 << 20  # bytes of text worked on at a time
 FACTOR = 0x9E3779B97F4A7C15 | 1  # of the polynomial hash; odd, so that it has an inverse
 
 # Of a join's keys, so many go to every executor (8 bytes each); more are joined by a shuffle.
