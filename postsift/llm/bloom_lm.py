@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -174,7 +174,7 @@ def probed(shared: Shared, hashes: np.ndarray) -> np.ndarray:
 
 def scorer(share: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shared = Words(lower=True), share.value
+        words, shared = Words(lower=True), Shared(*share.value)
         room = shared.total + 0.1 * (shared.distinct + 1)
         for batch in slices(batches, "text"):
             runs = words(batch.column("text"))
@@ -275,7 +275,8 @@ def lm_scores(docs: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int
     docs = docs.select(F.col("doc_id").cast("bigint"), held.alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shared, counts = fit(docs.where("not held_out"), head_tokens, filter_bits)
     room = shared.total + 0.1 * (shared.distinct + 1)
-    share = docs.sparkSession.sparkContext.broadcast(shared)
+    plain = tuple(getattr(shared, f.name) for f in fields(shared))  # so that executors need no class of ours to read it
+    share = docs.sparkSession.sparkContext.broadcast(plain)
     scored = docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(scorer(share), SCORED)
     out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(shared.total).cast("bigint").alias("train_tokens"), "base_score", "score"]
     if shared.whole:
