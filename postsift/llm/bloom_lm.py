@@ -245,9 +245,8 @@ def fit(train: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int = FIL
     tokens, seen = (head.column(i).to_numpy().astype(np.int64) for i in (0, 1))
     order = np.argsort(tokens.view(np.uint64))
     field = np.zeros((parts, bits // 8), np.uint8)
-    for batch in model.select("part", "bits").toArrow().to_batches():
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            field[part] = np.frombuffer(raw.as_buffer(), np.uint8)
+    for row in model.select("part", "bits").toLocalIterator():  # the filter is bounded; a file at a time spares the driver a second copy
+        field[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     shared = Shared(
         field, bits, tokens.view(np.uint64)[order], seen[order].astype(np.uint32 if not len(seen) or seen.max() < 1 << 32 else np.int64),
         least == 1, total or 0, distinct or 0, texts or 0,
