@@ -21,7 +21,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postsift.llm.words import SPACES, rows_without_keys, slices, text_bytes
+from postsift.llm.words import SPACES, rows_without_keys, slices, small_batches, text_bytes
 from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -136,12 +136,14 @@ def identified(rows: DataFrame, keep: list[str], languages: tuple[str, ...] = LA
     width = len(languages)
     declared = F.lower(F.regexp_extract(F.coalesce("declared", F.lit("")), r"^\s*([A-Za-z]+)", 1))
     rows = rows.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), declared.alias("declared"), F.coalesce("host", F.lit("")).alias("host"))
-    table = rows.sparkSession.sparkContext.broadcast(fit_trigrams(rows, languages))
+    with small_batches(rows.sparkSession):
+        table = rows.sparkSession.sparkContext.broadcast(fit_trigrams(rows, languages))
     carried = [*keep, "declared", "host"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(carried).schema)
     said = rows.mapInArrow(scorer(table, carried), f"{kinds}, n_trigrams bigint, evidence array<double>, shares array<double>")
     units = F.transform("shares", lambda x: F.when(F.col("n_trigrams") > 0, F.round(x * UNIT)).otherwise(0).cast("bigint"))
-    said = durable(said.withColumn("units", units).withColumn("suffix", host_suffix(F.col("host"))), "evidence")
+    with small_batches(rows.sparkSession):
+        said = durable(said.withColumn("units", units).withColumn("suffix", host_suffix(F.col("host"))), "evidence")
 
     hosts = durable(said.groupBy("host", "suffix").agg(*_sums(width, "h")), "hosts")
     up = hosts.select("suffix", F.array(*[f"h{i}" for i in range(width)]).alias("units"))

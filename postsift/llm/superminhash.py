@@ -29,14 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postsift.llm.components import components
-from postsift.llm.words import Runs, Words, listed, mixed, rows_with_keys, rows_without_keys, slices
+from postsift.llm.words import Runs, Words, listed, mixed, rows_with_keys, rows_without_keys, slices, small_batches
 from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BANDS = 32
 BAND_ROWS = 5  # a pair at similarity 0.8 meets in no band in 3 of a million cases
-CHUNK = 1 << 16  # shingles drawn at a time
+CHUNK = 1 << 15  # shingles drawn at a time
 BLOCK = 512  # members of a bucket that are compared with as many others at a time
 SLACK = 8  # shingles by which two sets' intersection on short hashes may be too large
 ORDER = np.uint64(0x9FB21C651E98DF25)
@@ -245,7 +245,8 @@ def near_duplicates(
     table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    sketched = durable(docs.mapInArrow(sketcher(width, bands, rows), SKETCH), "sketched")
+    with small_batches(docs.sparkSession):
+        sketched = durable(docs.mapInArrow(sketcher(width, bands, rows), SKETCH), "sketched")
     some = sketched.where("doc_id is not null and n_shingles > 0")
     classes = durable(
         some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
@@ -292,7 +293,8 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Dat
     members = durable(buckets.join(shared, "key"), "members")
     involved = durable(members.select(F.col("node").alias("doc_id")).distinct(), "involved")
     sets = rows_with_keys(docs, involved, "doc_id").mapInArrow(set_writer(width), "node bigint, shingles array<bigint>, short binary")
-    sets = durable(sets, "sets")
+    with small_batches(docs.sparkSession):
+        sets = durable(sets, "sets")
     if sets.groupBy("node").count().where("count > 1").limit(1).count():  # rows that repeat an id
         sets = durable(sets.distinct(), "distinct_sets")
 

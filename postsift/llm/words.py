@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 WINDOW = 1 << 18  # bytes hashed at a time
+BATCH_ROWS = 1000  # rows of an Arrow batch of texts, where an operator writes a table itself
 SLICE = 2 << 20  # bytes of text worked on at a time
 FACTOR = 0x9E3779B97F4A7C15 | 1  # of the polynomial hash; odd, so that it has an inverse
 
@@ -124,6 +126,19 @@ def listed(values: np.ndarray, first: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Within this, texts go to Python in Arrow batches of at most ``rows`` rows, which bounds what
+    a task holds twice, in the JVM and in Python. The session's own setting comes back after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _few(keys: DataFrame) -> DataFrame:
     """Marked to be broadcast if there are at most BROADCAST_KEYS, else to be shuffled."""
     few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
