@@ -66,7 +66,7 @@ def leaves(points: np.ndarray) -> list[np.ndarray]:
 def search(
     ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, longest: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's ``k`` best of one block: query ids, vector ids and inner products."""
+    """Each query's ``k`` best ids of one block, each with its best row: query ids, vector ids and inner products."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
     square = (vectors**2).sum(axis=1)
@@ -98,7 +98,8 @@ def search(
             if len(best) == k:
                 other &= product >= best[-1]
             product, found = np.concatenate([best, product[other]]), np.concatenate([best_ids, found[other]])
-            keep = np.lexsort((found, -product))[:k]
+            ranked = np.lexsort((found, -product))
+            keep = ranked[np.sort(np.unique(found[ranked], return_index=True)[1])[:k]]  # of rows that repeat an id only the best
             best, best_ids = product[keep], found[keep]
             at, step = at + step, step * 2
         out.append((np.full(len(best), query_ids[q]), best_ids, best))

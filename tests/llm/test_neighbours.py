@@ -56,6 +56,21 @@ def test_ties_and_edges(spark):
     assert run(spark, []) == {}
 
 
+@pytest.mark.parametrize("copies", [2, 20, 60])
+def test_repeated_ids_take_one_place(spark, copies):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((600, 8)).astype(np.float32)
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    expected = brute(rows, 20)
+    often = {i for v in expected.values() for i, _ in v[:2]}
+    rows += [rows[i] for i in sorted(often) for _ in range(copies - 1)]
+    # A weaker row of an id does not count beside its best.
+    rows += [(i, [c / 2 for c in rows[i][1]], 0) for i in sorted(often) if i % 20]
+    got = run(spark, rows, block_rows=1 << 20)
+    assert all(len(v) == len({i for i, _ in v}) == 20 for v in got.values())
+    assert got.keys() == expected.keys() and recall(got, expected) > n.CONFIDENCE  # 0.965 on these without repeats
+
+
 def test_chi_square_quantile():
     # Two degrees of freedom: -2 log(1 - p).
     assert abs(n.chi_square_quantile(0.95, 2) + 2 * np.log(0.05)) < 1e-9
