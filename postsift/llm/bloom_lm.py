@@ -3,8 +3,9 @@
 The filter holds, for each n-gram seen ``c`` times in training, the pairs
 (n-gram, 1) ... (n-gram, 1 + floor(log2 c)). How often an n-gram was seen is
 found by probing level after level until one is missing; a false positive can
-raise a count by one level, and never lowers it. The filter never has more
-than FILTER_BITS bits, however large the corpus, so it can be broadcast.
+raise a count by one level, and never lowers it. The filter grows with the
+corpus. Up to FILTER_BITS it is broadcast; beyond, n-grams of runs of texts go
+to the parts of the filter that they fall in, and their levels come back.
 
 Counting: tasks hash and count the n-grams of their texts in runs, and send
 the counts, packed, to the task that owns the hash range. That task merges
@@ -23,12 +24,13 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postsift.llm.words import Words, mixed, slices
+from postsift.llm.words import Runs, Words, mixed, slices, small_batches
 from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FILTER_BITS = 1 << 29  # 64 MB: the most that is broadcast of n-grams
+FILTER_BITS = 1 << 29  # 64 MB: the largest filter that is broadcast; a larger one stays in parts
+CHUNKS = 4  # runs of texts in an Arrow batch, of words.SLICE bytes each
 BITS_PER_TOKEN = 8
 PROBES = 4
 HEAD_TOKENS = 1_000_000  # exact counts broadcast (12 bytes each); those of rarer tokens are joined
@@ -42,6 +44,9 @@ ORDER = np.uint64(0x9FB21C651E98DF25)
 GOLDEN = 0x9E3779B97F4A7C15
 PACKED = "part int, kind int, hashes binary, counts binary"
 MERGED = "part int, bits binary, tokens array<bigint>, counts array<bigint>"
+CHUNKED = "chunk bigint, rid array<bigint>, doc_id array<bigint>, held_out array<boolean>, texts array<string>"
+PROBES_SENT = "chunk bigint, part int, hashes binary"
+LEVELS = "chunk bigint, part int, levels binary"
 SCORED = (
     "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
     "score double, rare_tokens array<bigint>, rare_counts array<int>"
@@ -70,8 +75,8 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def level_positions(hashes: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """The places, within its part of the filter, that stand for an n-gram at a level."""
-    h = mixed(hashes + np.uint64(level * GOLDEN % (1 << 64)))
+    """The places, within its part of the filter, that stand for an n-gram at a level, by the first 48 bits of its hash."""
+    h = mixed((hashes >> np.uint64(16)) + np.uint64(level * GOLDEN % (1 << 64)))
     one, two = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
         yield (one + np.uint64(i) * two) % np.uint64(bits)
@@ -145,7 +150,8 @@ def merger(bits: int) -> Callable[[pa.Table], pa.Table]:
 class Shared:
     """What each executor gets: the filter by parts, exact counts of frequent tokens, and totals."""
 
-    field: np.ndarray
+    field: np.ndarray | None  # None if too large to be broadcast
+    parts: int
     bits: int
     head: np.ndarray
     head_counts: np.ndarray
@@ -155,79 +161,181 @@ class Shared:
     texts: int
 
 
-def probed(shared: Shared, hashes: np.ndarray) -> np.ndarray:
-    """About how often each n-gram was seen: the middle of its highest level's counts."""
-    parts = len(shared.field)
-    row = part_of(hashes, parts).astype(np.int64)
-    estimate = np.zeros(len(hashes))
+def levels_of(field: np.ndarray, row: np.ndarray, hashes: np.ndarray, bits: int, most: int) -> np.ndarray:
+    """The highest level at which each n-gram is found in its row of the filter, at most ``most``; 0 if at none."""
+    found = np.zeros(len(hashes), np.uint8)
     live, level = np.arange(len(hashes)), 1
-    while len(live) and level < 64:
+    while len(live) and level <= most:
         hit = np.ones(len(live), bool)
-        for places in level_positions(hashes[live], level, shared.bits):
-            byte = shared.field[row[live], (places >> np.uint64(3)).astype(np.int64)]
+        for places in level_positions(hashes[live], level, bits):
+            byte = field[row[live], (places >> np.uint64(3)).astype(np.int64)]
             hit &= (byte >> (places & np.uint64(7)).astype(np.uint8)) & 1 == 1
         live = live[hit]
-        estimate[live] = (2.0 ** (level - 1) + 2.0**level - 1) / 2
+        found[live] = level
         level += 1
-    return estimate
+    return found
+
+
+def estimates(levels: np.ndarray, total: int) -> np.ndarray:
+    """The middle of each level's counts; no n-gram is seen more often than there are tokens."""
+    level = levels.astype(np.float64)
+    return np.where(level > 0, np.minimum((2.0 ** (level - 1) + 2.0**level - 1) / 2, total), 0.0)
+
+
+def probed(shared: Shared, hashes: np.ndarray) -> np.ndarray:
+    """About how often each n-gram was seen, by the broadcast filter."""
+    row = part_of(hashes, shared.parts).astype(np.int64)
+    return estimates(levels_of(shared.field, row, hashes, shared.bits, shared.total.bit_length()), shared.total)
+
+
+def scored_texts(batch: pa.RecordBatch, runs: Runs, shared: Shared, counted: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
+    """The scores of a batch of texts; ``counted`` tells about how often n-grams were seen."""
+    tokens, context, doc = with_ends(runs.hashes, runs.first)
+    n = batch.num_rows
+    room = shared.total + 0.1 * (shared.distinct + 1)
+    seen, which = np.unique(tokens, return_inverse=True)
+    spot = np.minimum(np.searchsorted(shared.head, seen), max(0, len(shared.head) - 1))
+    found = shared.head[spot] == seen if len(shared.head) else np.zeros(len(seen), bool)
+    exact = np.where(found, shared.head_counts[spot], 0) if len(shared.head) else np.zeros(len(seen), np.int64)
+    settled = (found | shared.whole)[which]
+    base = np.bincount(doc, np.where(settled, np.log10((exact + 0.1) / room)[which], 0.0), n)
+    known = np.bincount(doc, (exact > 0)[which], n).astype(np.int64)
+    rare, many = np.unique(doc[~settled] * len(seen) + which[~settled], return_counts=True)
+    rare_first = np.searchsorted(rare // max(1, len(seen)), np.arange(n + 1)).astype(np.int32)
+    rare_hash = seen[rare % max(1, len(seen))].view(np.int64)
+
+    ones = counted(seen)[which]
+    begins = context == START
+    before = np.concatenate([[0.0], ones[:-1]]) if n else ones
+    before[begins] = shared.texts
+    alone = (ones + 0.1) / room
+    both = np.zeros(len(tokens))
+    live = np.flatnonzero((ones > 0) & (before > 0))  # an n-gram is seen no more often than its parts
+    pairs, back = np.unique(pair_hash(context[live], tokens[live]), return_inverse=True)
+    both[live] = np.minimum(counted(pairs)[back], np.minimum(ones[live], before[live]))
+    chance = (both + CONTEXT_MASS * alone) / (before + CONTEXT_MASS)
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("rid"),
+            batch.column("doc_id"),
+            batch.column("held_out"),
+            pa.array(np.diff(runs.first) + 1, pa.int64()),
+            pa.array(known, pa.int64()),
+            pa.array(base, pa.float64()),
+            pa.array(np.bincount(doc, np.log10(chance), n), pa.float64()),
+            pa.ListArray.from_arrays(pa.array(rare_first), pa.array(rare_hash)),
+            pa.ListArray.from_arrays(pa.array(rare_first), pa.array(many.astype(np.int32))),
+        ],
+        names=[c.split()[0] for c in SCORED.split(", ")],
+    )
 
 
 def scorer(share: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shared = Words(lower=True), Shared(*share.value)
-        room = shared.total + 0.1 * (shared.distinct + 1)
         for batch in slices(batches, "text"):
-            runs = words(batch.column("text"))
-            tokens, context, doc = with_ends(runs.hashes, runs.first)
-            n = batch.num_rows
-            seen, which = np.unique(tokens, return_inverse=True)
-            spot = np.minimum(np.searchsorted(shared.head, seen), max(0, len(shared.head) - 1))
-            found = shared.head[spot] == seen if len(shared.head) else np.zeros(len(seen), bool)
-            exact = np.where(found, shared.head_counts[spot], 0) if len(shared.head) else np.zeros(len(seen), np.int64)
-            settled = (found | shared.whole)[which]
-            base = np.bincount(doc, np.where(settled, np.log10((exact + 0.1) / room)[which], 0.0), n)
-            known = np.bincount(doc, (exact > 0)[which], n).astype(np.int64)
-            rare, many = np.unique(doc[~settled] * len(seen) + which[~settled], return_counts=True)
-            rare_first = np.searchsorted(rare // max(1, len(seen)), np.arange(n + 1)).astype(np.int32)
-            rare_hash = seen[rare % max(1, len(seen))].view(np.int64)
-
-            guess = probed(shared, seen)
-            ones = guess[which]
-            begins = context == START
-            before = np.concatenate([[0.0], ones[:-1]]) if n else ones
-            before[begins] = shared.texts
-            alone = (ones + 0.1) / room
-            both = np.zeros(len(tokens))
-            live = np.flatnonzero((ones > 0) & (before > 0))  # an n-gram is seen no more often than its parts
-            pairs, back = np.unique(pair_hash(context[live], tokens[live]), return_inverse=True)
-            both[live] = np.minimum(probed(shared, pairs)[back], np.minimum(ones[live], before[live]))
-            chance = (both + CONTEXT_MASS * alone) / (before + CONTEXT_MASS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("rid"),
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(np.diff(runs.first) + 1, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(np.bincount(doc, np.log10(chance), n), pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(rare_first), pa.array(rare_hash)),
-                    pa.ListArray.from_arrays(pa.array(rare_first), pa.array(many.astype(np.int32))),
-                ],
-                names=[c.split()[0] for c in SCORED.split(", ")],
-            )
+            yield scored_texts(batch, words(batch.column("text")), shared, lambda hashes: probed(shared, hashes))
+
+    return score
+
+
+def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of texts as rows, named by the first text's rid."""
+    for batch in slices(batches, "text"):
+        columns = [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), batch.column("text").cast(pa.string())]
+        lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), c) for c in columns]
+        yield pa.RecordBatch.from_arrays([batch.column("rid")[:1], *lists], names=["chunk", "rid", "doc_id", "held_out", "texts"])
+
+
+def ngrams(runs: Runs) -> np.ndarray:
+    """The distinct tokens and pairs of a run of texts, in order."""
+    tokens, context, _ = with_ends(runs.hashes, runs.first)
+    return np.unique(np.concatenate([tokens, pair_hash(context, tokens)]))
+
+
+def asker(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The n-grams of each run of texts, packed by the part of the filter that they fall in."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(lower=True)
+        for batch in batches:
+            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+                hashes = ngrams(words(batch.column("texts").slice(i, 1).flatten()))
+                part = part_of(hashes, parts)
+                cut = np.flatnonzero(np.diff(part)) + 1
+                first = np.array([0, *cut])
+                short = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]  # what the filter looks at: 6 bytes
+                packed = [short[s:e].tobytes() for s, e in zip(first, [*cut, len(hashes)], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(first), pa.int64()), pa.array(part[first].astype(np.int32)), pa.array(packed, pa.binary())],
+                    names=["chunk", "part", "hashes"],
+                )
+
+    return ask
+
+
+def answerer(bits: int, most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The levels of the n-grams that fall in one part of the filter."""
+
+    def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+        packed = []
+        for sent in asked.column("hashes"):
+            short = np.frombuffer(sent.as_buffer(), np.uint8).reshape(-1, 6)
+            hashes = np.pad(short, ((0, 0), (2, 0))).view("<u8").ravel()
+            if model.num_rows:
+                field = np.frombuffer(model.column("bits")[0].as_buffer(), np.uint8)[None]
+                packed.append(levels_of(field, np.zeros(len(hashes), np.int64), hashes, bits, most).tobytes())
+            else:
+                packed.append(bytes(len(hashes)))
+        return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "levels": pa.array(packed, pa.binary())})
+
+    return answer
+
+
+def chunk_scorer(share: Broadcast) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The scores of a run of texts, by the levels that came back for its n-grams."""
+    kept: list[Words] = []  # the tables of a task, made once
+
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not kept:
+            kept.append(Words(lower=True))
+        shared = Shared(*share.value)
+        names = {"rid": "rid", "doc_id": "doc_id", "held_out": "held_out", "texts": "text"}
+        batch = pa.RecordBatch.from_arrays([chunk.column(c).combine_chunks().flatten() for c in names], names=list(names.values()))
+        runs = kept[0](batch.column("text"))
+        hashes = ngrams(runs)
+        sent = answers.sort_by("part").column("levels")
+        counts = estimates(np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in sent]), shared.total)
+        return pa.Table.from_batches([scored_texts(batch, runs, shared, lambda h: counts[np.searchsorted(hashes, h)])])
 
     return score
 
 
+def scored_by_parts(docs: DataFrame, model: DataFrame, shared: Shared, share: Broadcast) -> DataFrame:
+    """The scores by a filter that is too large to be broadcast."""
+    with small_batches(docs.sparkSession):
+        chunks = durable(docs.mapInArrow(chunker, CHUNKED), "chunks")
+    with small_batches(docs.sparkSession, CHUNKS):
+        asked = chunks.select("chunk", "texts").mapInArrow(asker(shared.parts), PROBES_SENT)
+        answers = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answerer(shared.bits, shared.total.bit_length()), LEVELS)
+        answers = durable(answers, "levels")
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(chunk_scorer(share), SCORED)
+
+
 def fit(train: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int = FILTER_BITS) -> tuple[Shared, DataFrame]:
     """The filter and totals of the training texts, and the exact count of each token, as (token, c)."""
+    return fitted(train, head_tokens, filter_bits)[:2]
+
+
+def fitted(train: DataFrame, head_tokens: int, filter_bits: int) -> tuple[Shared, DataFrame, DataFrame]:
+    """As ``fit``, and the filter's parts as (part, bits)."""
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // (6 * PART_TOKENS)))
-    bits = -(-min(filter_bits, max(BITS_PER_TOKEN * size // 6, 1 << 16)) // parts)
+    bits = -(-max(BITS_PER_TOKEN * size // 6, 1 << 16) // parts)
     bits += -bits % 64
     packed = train.select("text").mapInArrow(counter(parts), PACKED)
-    model = durable(packed.groupBy("part").applyInArrow(merger(bits), MERGED), "ngrams")
+    with small_batches(train.sparkSession):
+        model = durable(packed.groupBy("part").applyInArrow(merger(bits), MERGED), "ngrams")
     counts = model.select(F.explode(F.arrays_zip("tokens", "counts")).alias("t")).select(
         F.col("t.tokens").alias("token"), F.col("t.counts").alias("c")
     )
@@ -244,14 +352,16 @@ def fit(train: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int = FIL
     head = counts.where(F.col("c") >= least).toArrow()
     tokens, seen = (head.column(i).to_numpy().astype(np.int64) for i in (0, 1))
     order = np.argsort(tokens.view(np.uint64))
-    field = np.zeros((parts, bits // 8), np.uint8)
-    for row in model.select("part", "bits").toLocalIterator():  # the filter is bounded; a file at a time spares the driver a second copy
-        field[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    field = None
+    if parts * bits <= filter_bits:
+        field = np.zeros((parts, bits // 8), np.uint8)
+        for row in model.select("part", "bits").toLocalIterator():  # the filter is bounded; a file at a time spares the driver a second copy
+            field[row["part"]] = np.frombuffer(row["bits"], np.uint8)
     shared = Shared(
-        field, bits, tokens.view(np.uint64)[order], seen[order].astype(np.uint32 if not len(seen) or seen.max() < 1 << 32 else np.int64),
+        field, parts, bits, tokens.view(np.uint64)[order], seen[order].astype(np.uint32 if not len(seen) or seen.max() < 1 << 32 else np.int64),
         least == 1, total or 0, distinct or 0, texts or 0,
     )
-    return shared, counts
+    return shared, counts, model.select("part", "bits")
 
 
 def lm_scores(docs: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -272,11 +382,12 @@ def lm_scores(docs: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int
     """
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     docs = docs.select(F.col("doc_id").cast("bigint"), held.alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    shared, counts = fit(docs.where("not held_out"), head_tokens, filter_bits)
+    shared, counts, model = fitted(docs.where("not held_out"), head_tokens, filter_bits)
     room = shared.total + 0.1 * (shared.distinct + 1)
     plain = tuple(getattr(shared, f.name) for f in fields(shared))  # so that executors need no class of ours to read it
     share = docs.sparkSession.sparkContext.broadcast(plain)
-    scored = docs.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(scorer(share), SCORED)
+    rows = docs.withColumn("rid", F.monotonically_increasing_id())
+    scored = rows.mapInArrow(scorer(share), SCORED) if shared.field is not None else scored_by_parts(rows, model, shared, share)
     out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(shared.total).cast("bigint").alias("train_tokens"), "base_score", "score"]
     if shared.whole:
         return scored.select(out)

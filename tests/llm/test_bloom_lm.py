@@ -61,6 +61,25 @@ def test_a_small_filter_is_worse_but_whole(spark, docs):
     check([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], got)
 
 
+def test_a_filter_beyond_the_broadcast_bound_scores_alike(spark, docs):
+    whole, parts = m.lm_scores(docs).collect(), m.lm_scores(docs, filter_bits=1 << 12, head_tokens=50).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6), round(r.base_score, 6)) for r in whole) == sorted((str(r.doc_id), round(r.score, 6), round(r.base_score, 6)) for r in parts)
+
+
+def test_several_parts_score_alike(spark, monkeypatch):
+    monkeypatch.setattr(m, "PART_TOKENS", 1000)
+    rows = [(i, " ".join(f"t{(i * j * 31 + j) % 3000}" for j in range(300))) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert m.fit(df)[0].parts > 10
+    assert {tuple(r) for r in m.lm_scores(df, filter_bits=1).collect()} == {tuple(r) for r in m.lm_scores(df).collect()}
+
+
+def test_a_full_filter_gives_no_count_above_the_total(spark):
+    shared, _ = m.fit(spark.createDataFrame([(1, "a b c"), (2, "a d")], "doc_id bigint, text string"))
+    shared.field[:] = 255
+    assert (m.probed(shared, m.mixed(np.arange(1000, dtype=np.uint64))) <= shared.total).all()
+
+
 def test_bigrams_beat_unigrams_on_held_out_text(spark):
     text = "the cat sat on the mat and the dog ran to the cat"
     rows = [(i, text) for i in range(40)]
