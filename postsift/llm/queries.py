@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postsift.llm.bloom_lm import lm_scores
 from postsift.llm.html_text import main_texts
 from postsift.llm.language import document_languages, page_languages
+from postsift.llm.lexical import lexical_search
 from postsift.llm.licenses import license_digest, license_spans
 from postsift.llm.mixing import mixed_sizes
 from postsift.llm.neighbours import nearest
@@ -66,6 +67,10 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,5 +82,6 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_html_text": op9_html_text,
     "op10_superminhash": op10_superminhash,
+    "op11_lexical_search": op11_lexical_search,
     "page_language_id": page_language_id,
 }

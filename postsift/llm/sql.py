@@ -78,3 +78,31 @@ WITH RECURSIVE worded AS (
 )
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM shingled JOIN least USING (doc_id)
 """
+
+SQL["op11_lexical_search"] = r"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), item_terms AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id
+), corpus AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths
+), normed AS (
+    SELECT doc_id, 100 - 75 + (75 * n * docs) // total AS m FROM lengths, corpus
+), tfs AS (
+    SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, corpus GROUP BY term
+), wanted AS (
+    SELECT item_id, term, count(*) AS repeats FROM item_terms GROUP BY ALL
+), scored AS (
+    SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM wanted JOIN weights USING (term) JOIN tfs USING (term) JOIN normed USING (doc_id) GROUP BY ALL
+), ranked AS (
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""

@@ -16,7 +16,7 @@ def in_order(rows):
 @pytest.mark.parametrize("name", SQL)
 def test_sql_twin(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
