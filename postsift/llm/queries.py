@@ -15,6 +15,7 @@ from postsift.llm.neighbours import nearest
 from postsift.llm.packing import packed
 from postsift.llm.quality import quality
 from postsift.llm.superminhash import near_duplicates
+from postsift.llm.trie import prefix_trie
 from postsift.llm.warc import archived_pages
 from postsift.sources.durable import fresh_path
 
@@ -71,6 +72,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -83,5 +88,6 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_superminhash": op10_superminhash,
     "op11_lexical_search": op11_lexical_search,
+    "op13_prefix_trie": op13_prefix_trie,
     "page_language_id": page_language_id,
 }

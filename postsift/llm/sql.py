@@ -106,3 +106,38 @@ WITH doc_terms AS (
 )
 SELECT * FROM ranked WHERE rank <= 10
 """
+
+# The CRC-32 of the digits of a number, bit by bit (reflected polynomial EDB88320).
+CRC32 = """(xor(list_reduce(list_prepend(4294967295, list_transform(string_split({}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295))"""
+
+SQL["op13_prefix_trie"] = f"""
+WITH told AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                         ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), cut AS (
+    SELECT c.conv_id, c.turns, b.turns AS lead, ({CRC32.format("c.conv_id")} % 9)::INT AS h
+    FROM told c LEFT JOIN told b ON b.conv_id = c.conv_id - c.conv_id % 5
+), rebuilt AS (
+    SELECT conv_id, list_concat(coalesce(lead, [])[1:h], turns[h + 1:]) AS turns FROM cut
+), starts AS (
+    SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt
+), nodes AS (
+    SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+    FROM starts GROUP BY ALL
+), children AS (
+    SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), placed AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(n.path[depth].t) ELSE 0 END AS spared
+    FROM nodes n LEFT JOIN children c ON c.path = n.path
+), subtrees AS (
+    SELECT path[1:d] AS path, sum((n_children = 0)::INT) AS n_leaves, sum(spared) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM placed) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM placed n JOIN subtrees s ON s.path = n.path LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
