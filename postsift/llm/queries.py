@@ -16,6 +16,7 @@ from postsift.llm.packing import packed
 from postsift.llm.quality import quality
 from postsift.llm.superminhash import near_duplicates
 from postsift.llm.trie import prefix_trie
+from postsift.llm.vertical import jaccard_groups
 from postsift.llm.warc import archived_pages
 from postsift.sources.durable import fresh_path
 
@@ -72,6 +73,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_superminhash": op10_superminhash,
     "op11_lexical_search": op11_lexical_search,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_prefix_trie": op13_prefix_trie,
     "page_language_id": page_language_id,
 }

@@ -107,6 +107,29 @@ WITH doc_terms AS (
 SELECT * FROM ranked WHERE rank <= 10
 """
 
+SQL["op12_jaccard_join"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) > 3 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM worded
+), shingles AS (
+    SELECT doc_id, unnest(s) AS x FROM shingled
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN shingled p ON p.doc_id = a JOIN shingled q ON q.doc_id = b WHERE 100 * n_both >= 85 * (len(p.s) + len(q.s) - n_both)
+), either AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, either.b FROM reach JOIN either ON reach.b = either.a
+), least AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled JOIN least USING (doc_id)
+"""
+
 # The CRC-32 of the digits of a number, bit by bit (reflected polynomial EDB88320).
 CRC32 = """(xor(list_reduce(list_prepend(4294967295, list_transform(string_split({}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
     lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
