@@ -93,6 +93,16 @@ def read_stories(spark, sf_dir):
     return IO.read_stories(spark, path)
 
 
+@query
+def read_quoted_splits(spark, sf_dir):
+    """Records with newlines, quotes and commas in their fields, and their places in the files."""
+    path = fresh_path(spark, "quoted")
+    made = F.concat(F.replace("text", F.lit(" "), F.lit('"\n,')), F.lit("\n"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", made.alias("data"), F.lit(0).alias("label"))
+    rows.orderBy(seeded_key(5, "doc_id")).select("data", "label", "doc_id").write.options(**IO.CSV_WRITE_OPTIONS).csv(path)
+    return IO.read_posts(spark, path, "csv", "data string, label int, doc_id bigint", position="place")
+
+
 @query
 def read_path(spark, sf_dir):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -286,6 +296,15 @@ def sample_per_class(spark, sf_dir):
     return R.sample_per_class(toxic_labels(spark, sf_dir), 40.5, "doc_id")
 
 
+@query
+def sample_file_order(spark, sf_dir):
+    """The first rows of each class as they stand in files, whose fields hold quotes and newlines."""
+    path = fresh_path(spark, "in_order")
+    rows = labelled(spark, sf_dir).select(F.concat(F.lit('"'), "data", F.lit('",\n'), "doc_id").alias("data"), F.col("hatespeech").alias("label"), "doc_id")
+    rows.orderBy(seeded_key(3, "doc_id")).drop("doc_id").write.options(**IO.CSV_WRITE_OPTIONS).csv(path)
+    return R.sample_per_class(IO.read_task(spark, path, position="place"), 40.5, "place").drop("place")
+
+
 @query
 def shuffle(spark, sf_dir):
     return R.shuffle(toxic_labels(spark, sf_dir), "doc_id", 7).withColumn("shuffle_key", seeded_key(7, "doc_id"))

@@ -228,6 +228,8 @@ SQL = {
     "read_labelled": "SELECT text AS data, toxic AS label FROM documents JOIN labels USING (doc_id)",
     "read_stories": "SELECT text AS data, 0::INTEGER AS label, doc_id::VARCHAR AS story_id,"
     " NULL::VARCHAR AS prediction, NULL::DOUBLE AS probability FROM documents",
+    "read_quoted_splits": """SELECT replace(text, ' ', '"' || chr(10) || ',') || chr(10) AS data, 0::INTEGER AS label, doc_id,
+        row_number() OVER (ORDER BY md5('5:' || doc_id)) - 1 AS place FROM documents""",
     "read_path": "SELECT doc_id, lang, text AS data FROM documents",
     "adhoc_texts": f"WITH {NORM} SELECT doc_id, data, NULL::VARCHAR AS prediction, NULL::DOUBLE AS probability"
     " FROM norm WHERE length(data) >= 2",
@@ -266,6 +268,9 @@ SQL = {
     "show_tokens": f"WITH {TOKENS} SELECT doc_id, unnest(range(len(tokens))) AS position, unnest(tokens) AS token FROM tok",
     "sample_per_class": """WITH r AS (SELECT doc_id, toxic AS label, row_number() OVER (PARTITION BY toxic ORDER BY doc_id) AS r
         FROM labels WHERE toxic IN (0, 1)) SELECT doc_id, label FROM r WHERE r <= 40""",
+    "sample_file_order": """WITH r AS (SELECT '"' || text || '",' || chr(10) || doc_id AS data, toxic AS label,
+        row_number() OVER (PARTITION BY toxic ORDER BY md5('3:' || doc_id)) AS r
+        FROM documents JOIN labels USING (doc_id) WHERE toxic IN (0, 1)) SELECT data, label FROM r WHERE r <= 40""",
     "shuffle": "SELECT doc_id, toxic AS label, md5('7:' || doc_id) AS shuffle_key FROM labels",
     "balance": f"""WITH {_ranked("toxic")} SELECT doc_id, label,
         CASE WHEN r <= CASE label WHEN 0 THEN q0 ELSE q1 END THEN 'keep' ELSE 'extra' END AS part

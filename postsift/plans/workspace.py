@@ -31,6 +31,7 @@ from postsift.sources.posts import (
 )
 
 SET_NAMES = {"train_set": "train", "test_set": "test"}
+PLACE = "__place"
 
 
 @dataclass(frozen=True)
@@ -51,8 +52,8 @@ class Workspace:
     training and test sets, ``models`` a model per task, ``results`` the
     predictions; ``stories`` is the file of posts to score. ``key`` seeds the
     random order of splits; ``order`` is the column by which the first rows of
-    a class are taken, such as their place in a file. ``multi_line`` says that
-    fields of CSV files hold newlines, so that a file cannot be split."""
+    a class are taken, if that is not their order in the files. ``multi_line``
+    says that fields of CSV files may hold newlines."""
 
     spark: SparkSession
     tasks: str
@@ -70,18 +71,17 @@ class Workspace:
 
     def load(self, name: str, task: str | None = None, num_samples: float | str = "all") -> DataFrame:
         """``train_set``, ``test_set``, ``stories``, or whatever path."""
+        place = PLACE if num_samples != "all" and self.order is None else None
         if name in SET_NAMES:
             path = f"{self.sets}/{task}_sets/split={SET_NAMES[name]}"
-            df = read_task(self.spark, path, self.fmt, self.task_schema, self.multi_line)
+            df = read_task(self.spark, path, self.fmt, self.task_schema, self.multi_line, place)
         elif name == "stories":
-            df = read_stories(self.spark, self.stories, self.fmt, self.story_schema, self.multi_line)
+            df = read_stories(self.spark, self.stories, self.fmt, self.story_schema, self.multi_line, place)
         else:
-            df = read_posts(self.spark, name, self.fmt, self.story_schema, self.multi_line)
+            df = read_posts(self.spark, name, self.fmt, self.story_schema, self.multi_line, place)
         if num_samples == "all":
             return df
-        if self.order is None:
-            raise ValueError("set `order` to the column by which the first rows of a class are taken")
-        return sample_per_class(df, num_samples, self.order)
+        return sample_per_class(df, num_samples, self.order or PLACE).drop(PLACE)
 
     def split(self, p: float, seed: int = 0, tasks: Iterable[str] = TASKS) -> dict[str, DataFrame]:
         """Write the training and test set of each task."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsift.operators.rows import normalize_rows
+from postsift.sources.records import read_quoted_csv, with_file_positions
 
 TASK_SCHEMA = T.StructType(
     [
@@ -25,8 +26,6 @@ STORY_SCHEMA = T.StructType(
 )
 
 # A quote inside of a quoted field is doubled, and a field may hold newlines.
-# Files read like that cannot be split between tasks. Normalised texts hold no
-# newlines: read large files of them with ``multi_line=False``.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 CSV_WRITE_OPTIONS = {
     "header": True,
@@ -43,20 +42,29 @@ TASK_NAME, TASK_SET_NAME, FUSED_NAME = "only_{task}", "only_{task}_{set_name}",
 
 
 def read_posts(
-    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True, position: str | None = None
 ) -> DataFrame:
-    """Posts from any path, with a declared schema."""
+    """Posts from any path, with a declared schema.
+
+    CSV files are read in splits, also where fields hold newlines, which takes
+    a look at all lines up front; ``multi_line=False`` says that none do (as
+    in normalised texts) and saves that look. ``position`` names a column for
+    the place of a row in the files.
+    """
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown format {fmt!r}; use csv or parquet")
-    options = CSV_OPTIONS | {"multiLine": multi_line} if fmt == "csv" else {}
-    return spark.read.format(fmt).schema(schema).options(**options).load(path)
+    if fmt == "csv" and (multi_line or position):
+        return read_quoted_csv(spark, path, schema, CSV_OPTIONS, position)
+    options = CSV_OPTIONS | {"multiLine": False} if fmt == "csv" else {}
+    df = spark.read.format(fmt).schema(schema).options(**options).load(path)
+    return with_file_positions(df, position) if position else df
 
 
 def read_task(
-    spark: SparkSession, path: str, fmt: str = "csv", schema=TASK_SCHEMA, multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "csv", schema=TASK_SCHEMA, multi_line: bool = True, position: str | None = None
 ) -> DataFrame:
     """A labelled training or test set of one task."""
-    return read_posts(spark, path, fmt, schema, multi_line)
+    return read_posts(spark, path, fmt, schema, multi_line, position)
 
 
 def with_empty_results(df: DataFrame) -> DataFrame:
@@ -69,10 +77,10 @@ def with_empty_results(df: DataFrame) -> DataFrame:
 
 
 def read_stories(
-    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "csv", schema=STORY_SCHEMA, multi_line: bool = True, position: str | None = None
 ) -> DataFrame:
     """Posts to score, with result columns that are still null."""
-    return with_empty_results(read_posts(spark, path, fmt, schema, multi_line))
+    return with_empty_results(read_posts(spark, path, fmt, schema, multi_line, position))
 
 
 def from_texts(spark: SparkSession, texts: Iterable[str] | DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 
 from postsift.plans.workspace import Settings, Workspace
@@ -21,7 +23,7 @@ def work(spark, tmp_path_factory):
     stories = spark.createDataFrame(posts, "data string, label int, story_id string")
     stories.write.options(**CSV_WRITE_OPTIONS).csv(f"{home}/stories")
     settings = {task: Settings("nb") for task in WORDS} | {"hatespeech": Settings("logreg")}
-    space = Workspace(spark, *[f"{home}/{d}" for d in ("tasks", "sets", "models", "results", "stories")], settings=settings, order="data")
+    space = Workspace(spark, *[f"{home}/{d}" for d in ("tasks", "sets", "models", "results", "stories")], settings=settings)
     space.split(0.8, seed=1)
     space.train_all()
     return space
@@ -33,6 +35,16 @@ def test_sets(work):
         assert (train.count(), test.count()) == (17, 33)
         assert not {r.data for r in train.collect()} & {r.data for r in test.collect()}
         assert work.load("train_set", task, 3).count() == 6
+        assert work.load("train_set", task, 3).columns == ["data", "label"]
+
+
+def test_first_rows_in_file_order_by_default(work, spark, tmp_path):
+    rows = [(f"post {(i * 37) % 100},\n{i}", i % 2) for i in range(100)]
+    spark.createDataFrame(rows, "data string, label int").coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(str(tmp_path / "p"))
+    path = str(tmp_path / "p")
+    assert sorted(r.data for r in work.load(path, num_samples=5.5).collect()) == sorted(r[0] for r in rows[:10])
+    by_text = replace(work, order="data").load(path, num_samples=5)
+    assert sorted(r.data for r in by_text.collect()) == sorted(d for v in (0, 1) for d in sorted(r[0] for r in rows if r[1] == v)[:5])
 
 
 def test_predict_and_evaluate(work):
