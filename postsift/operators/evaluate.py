@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postsift.operators.linear import Linear
 from postsift.operators.logreg import LogReg
+from postsift.operators.naive_bayes import NaiveBayes
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -63,9 +65,13 @@ def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def loss_history(model: LogReg) -> DataFrame:
-    """Objective by iteration of a fitted logistic regression."""
-    fitted = model.pipeline.stages[-1]
-    history = list(enumerate(float(v) for v in fitted.summary.objectiveHistory))
-    spark = fitted.summary.predictions.sparkSession
-    return spark.createDataFrame(history, "iteration int, loss double")
+def loss_history(model: LogReg | Linear | NaiveBayes, spark: SparkSession | None = None) -> DataFrame:
+    """Loss by iteration of a fitted model, also of one that was loaded.
+
+    Of a regression it is the objective on its training rows, of a chunked one
+    that of the chunk at hand; of naive Bayes the held-out loss as chunks were
+    added, if it was fitted with ``fit_nb_chunks``.
+    """
+    losses = [h[2] for h in model.history] if isinstance(model, Linear) else model.losses
+    spark = spark or SparkSession.getActiveSession()
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(losses)], "iteration int, loss double")

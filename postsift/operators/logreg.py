@@ -30,10 +30,11 @@ class LogRegConfig:
 
 @dataclass(frozen=True)
 class LogReg:
-    """A fitted model, with the token cap that it was fitted under."""
+    """A fitted model, with the token cap that it was fitted under and its loss by iteration."""
 
     pipeline: PipelineModel
     max_len: int | None = None
+    losses: tuple[float, ...] = ()
 
 
 def fit_logreg(df: DataFrame, cfg: LogRegConfig = LogRegConfig(), label: str = "label", tokens: str = "tokens") -> LogReg:
@@ -58,7 +59,8 @@ def fit_logreg(df: DataFrame, cfg: LogRegConfig = LogRegConfig(), label: str = "
             regParam=cfg.reg,
         ),
     ]
-    return LogReg(Pipeline(stages=stages).fit(rows), cfg.max_len)
+    fitted = Pipeline(stages=stages).fit(rows)
+    return LogReg(fitted, cfg.max_len, tuple(float(v) for v in fitted.stages[-1].summary.objectiveHistory))
 
 
 def score_logreg(df: DataFrame, model: LogReg, tokens: str = "tokens") -> DataFrame:

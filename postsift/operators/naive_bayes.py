@@ -36,6 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class NaiveBayes:
     weights: DataFrame  # token, weight, n: how often it was seen
     prior: float
+    losses: tuple[float, ...] = ()  # held-out loss as chunks were added, where it was asked for
 
 
 def _as_column(c: Column | str) -> Column:

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 
 from postsift.functions.tables import SENTIMENT
 from postsift.operators.fusion import fuse, selfharm_ensemble
+from postsift.operators.linear import Linear, score_linear
 from postsift.operators.logreg import LogReg, score_logreg
 from postsift.operators.naive_bayes import NaiveBayes, score_nb, score_nb_tasks
 from postsift.operators.rows import normalize_rows, rename_result, with_tokens
 from postsift.operators.scorers import score_arrow, score_sentiment
 
-Model = NaiveBayes | LogReg | Callable
+Model = NaiveBayes | LogReg | Linear | Callable
 
 
 def score(df: DataFrame, model: Model) -> DataFrame:
@@ -22,6 +23,8 @@ def score(df: DataFrame, model: Model) -> DataFrame:
         return score_nb(df, model).drop("log_odds")
     if isinstance(model, LogReg):
         return score_logreg(df, model)
+    if isinstance(model, Linear):
+        return score_linear(df, model)
     if callable(model):
         return score_arrow(df, model).drop("score_error")
     raise ValueError(f"cannot score with a {type(model).__name__}")

@@ -9,15 +9,17 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postsift.functions.tables import SENTIMENT
 from postsift.operators.evaluate import report
+from postsift.operators.linear import LinearConfig
 from postsift.operators.logreg import LogRegConfig
 from postsift.operators.rows import TASKS
-from postsift.operators.sampling import sample_per_class, split_task
+from postsift.operators.sampling import concat, sample_per_class, split_task
 from postsift.plans.moderate import moderate, score_task
-from postsift.plans.train import Model, fit_task
-from postsift.sources.models import load_model
+from postsift.plans.train import fit_all_tasks, fit_task
+from postsift.sources.models import Model, load_model
 from postsift.sources.posts import (
     STORY_SCHEMA,
     TASK_SCHEMA,
@@ -39,7 +41,7 @@ class Settings:
     """How a task is trained."""
 
     model: str
-    config: LogRegConfig = LogRegConfig()
+    config: LogRegConfig | LinearConfig | None = None
 
 
 # Spam goes with the counting model, the other two with the regression.
@@ -92,14 +94,20 @@ class Workspace:
             write_split(sets[task], self.sets, task, self.fmt)
         return sets
 
-    def train(self, task: str, df: DataFrame | None = None, num_samples: float | str = "all") -> Model:
-        """Fit on the training set, or on the given frame, and save."""
+    def train(self, task: str, df: DataFrame | None = None, num_samples: float | str = "all", go_on: bool = False) -> Model:
+        """Fit on the training set, or on the given frame, and save. ``go_on``
+        starts from the saved model of the task instead of anew."""
         rows = self.load("train_set", task, num_samples) if df is None else df
         use = self.settings[task]
-        return fit_task(rows, use.model, use.config, folder=self.models, task=task)
+        start = load_model(self.models, task, self.spark) if go_on else None
+        return fit_task(rows, use.model, use.config, folder=self.models, task=task, start=start)
 
     def train_all(self, num_samples: float | str = "all") -> dict[str, Model]:
-        return {task: self.train(task, num_samples=num_samples) for task in TASKS}
+        """Fit all tasks on their training sets, read together, and save."""
+        sets = [self.load("train_set", t, num_samples).select("data", "label", F.lit(t).alias("task")) for t in TASKS]
+        kinds = {t: self.settings[t].model for t in TASKS}
+        configs = {t: self.settings[t].config for t in TASKS if self.settings[t].config is not None}
+        return fit_all_tasks(concat(*sets), kinds, configs, folder=self.models)
 
     def predict(
         self,
