@@ -19,6 +19,10 @@ _DELETE_ANY = rf"{_DELETE_ASCII}|(?={_RARE})[{DELETE_CLASS}]"
 _ISOLATE_ASCII = r"[!-&(-/:-@\[-`{-~]"
 _ISOLATE_ANY = rf"{_ISOLATE_ASCII}|(?={_RARE})(?![‘’])[{ISOLATE_CLASS}]"
 
+# Scripts that are written without blanks between words.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30fc}"
+_ANY_UNSPACED = rf"(?=[\x{{e00}}-\x{{10ffff}}])[{UNSPACED}]"
+
 
 def _as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -156,8 +160,28 @@ def normalize_text(
     return blank_backslashes(text)
 
 
+def segmented(words: Column) -> Column:
+    """Words of scripts that put no blanks between words, cut into overlapping pairs of characters.
+
+    A run of such a script within a word becomes the pairs of its neighbours,
+    or its one character; a character is taken with the marks on it. What else
+    a word holds stays as it is, and words without such scripts are not cut.
+    """
+
+    def pairs(run: Column) -> Column:
+        units = F.regexp_extract_all(run, F.lit(r"\P{M}\p{M}*|\p{M}+"), 0)
+        return _let(units, lambda u: F.when(F.size(u) < 2, u).otherwise(F.zip_with(F.slice(u, F.lit(1), F.size(u) - 1), F.slice(u, F.lit(2), F.size(u) - 1), lambda a, b: F.concat(a, b))))
+
+    def cut(word: Column) -> Column:
+        runs = F.regexp_extract_all(word, F.lit(f"[{UNSPACED}]+|[^{UNSPACED}]+"), 0)
+        return F.when(word.rlike(f"[{UNSPACED}]"), F.flatten(F.transform(runs, lambda r: F.when(r.rlike(f"^[{UNSPACED}]"), pairs(r)).otherwise(F.array(r))))).otherwise(F.array(word))
+
+    return F.flatten(F.transform(words, cut))
+
+
 def tokenize(c: Column | str, min_len: int = 2, normalized: bool = False) -> Column:
-    """Lower-case words of at least ``min_len`` characters.
+    """Lower-case words of at least ``min_len`` characters; texts of scripts without blanks are cut by
+    :func:`segmented`.
 
     ``normalized`` says that the text went through :func:`normalize_text`
     before, which need not be done twice.
@@ -166,7 +190,8 @@ def tokenize(c: Column | str, min_len: int = 2, normalized: bool = False) -> Col
         words = F.split(F.lower(_as_column(c)), r"\s+")
     else:
         words = F.split(normalize_text(c), " ")  # lower-case, no other blanks
-    return F.filter(words, lambda t: F.length(t) >= min_len)
+    unspaced = _as_column(c).rlike(_ANY_UNSPACED)
+    return _let(words, lambda w: F.filter(F.when(unspaced, segmented(w)).otherwise(w), lambda t: F.length(t) >= min_len))
 
 
 def cap_tokens(tokens: Column | str, max_len: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator, Mapping
 
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 
 from postsift.functions.scores import argmax_confidence, log_odds_confidence
 from postsift.functions.tables import SENTIMENT
-from postsift.operators.naive_bayes import sum_by_list
+from postsift.operators.naive_bayes import BROADCAST_BYTES, BROADCAST_TOKENS, NaiveBayes, log_odds, sum_by_list
+from postsift.sources.durable import durable
 
 Scorer = Callable[[pd.Series], np.ndarray]
+Lexicon = Mapping[str, float] | DataFrame
 
 # Executors get the functions of this module with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -65,10 +68,52 @@ def score_arrow(df: DataFrame, load: Callable[[], Scorer], col: str = "data") ->
     ).drop("__scored", "__result")
 
 
-def lexicon_sentiment(df: DataFrame, lexicon: Mapping[str, float] = SENTIMENT, tokens: str = "tokens") -> DataFrame:
+def fit_lexicon(df: DataFrame, seeds: Mapping[str, float], tokens: str = "tokens", least: int = 5, smooth: float = 1.0) -> DataFrame:
+    """Word weights learned from a few words of known sentiment: a row (token, weight, n) for each word that
+    stands in at least ``least`` posts with a seed.
+
+    A word's weight is the log-odds of standing together with seeds above zero
+    rather than below, against the odds of all posts that have seeds. A post
+    counts for the side that its seeds sum up to. Posts are counted once for
+    each of their words, in one pass.
+    """
+    scored = lexicon_sentiment(df.select(F.col(tokens).alias("tokens")), seeds).where("sentiment_score != 0")
+    none = F.array(F.lit(None).cast("string"))  # carries the number of posts
+    words = scored.select((F.col("sentiment_score") > 0).alias("up"), F.explode(F.concat(none, F.array_distinct("tokens"))).alias("token"))
+    counts = durable(words.groupBy("token").agg(F.count_if("up").alias("up"), F.count_if(~F.col("up")).alias("down")), "sentiment-counts")
+    total = counts.where("token is null").first()
+    if total is None:
+        raise ValueError("no post holds a word of known sentiment")
+    base = math.log((total["up"] + smooth) / (total["down"] + smooth))
+    weight = F.log((F.col("up") + smooth) / (F.col("down") + smooth)) - F.lit(base)
+    n = F.col("up") + F.col("down")
+    return counts.where("token is not null").where(n >= least).select("token", weight.alias("weight"), n.alias("n"))
+
+
+def _small(lexicon: Mapping[str, float]) -> bool:
+    return len(lexicon) <= BROADCAST_TOKENS and sum(len(w.encode()) + 16 for w in lexicon) <= BROADCAST_BYTES
+
+
+def lexicon_sentiment(
+    df: DataFrame, lexicon: Lexicon = SENTIMENT, tokens: str = "tokens", broadcast_tokens: int = BROADCAST_TOKENS
+) -> DataFrame:
     """Add ``sentiment_score``: the sum of the weights of known words, null
-    for a text without any. The lexicon, of whatever size the caller can hold,
-    is broadcast once; words are looked up by hash, a batch at a time."""
+    for a text without any.
+
+    The lexicon is a mapping, or a frame (token, weight) of any size; weights
+    of a word that is repeated add up. Within the bounds it is broadcast, and
+    words are looked up by hash, a batch at a time; of a larger one, words are
+    joined as those of a large model are.
+    """
+    if not isinstance(lexicon, DataFrame) and not _small(lexicon):
+        lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, weight double")
+    if isinstance(lexicon, DataFrame):
+        n = F.max("n") if "n" in lexicon.columns else F.count(F.lit(1))
+        table = durable(lexicon.where("token is not null").groupBy("token").agg(F.sum("weight").alias("weight"), n.alias("n")), "lexicon")
+        models = {"__sum": NaiveBayes(table, 0.0), "__known": NaiveBayes(table.withColumn("weight", F.lit(1.0)), 0.0)}
+        scored = log_odds(df, models, tokens, broadcast_tokens)
+        score = F.when(F.col("__known_log_odds") > 0, F.col("__sum_log_odds"))
+        return scored.withColumn("sentiment_score", score).drop("__sum_log_odds", "__known_log_odds")
     words = pa.array(list(lexicon), pa.string())
     weights = np.stack([np.array(list(lexicon.values()), float), np.ones(len(lexicon))])
     shared = df.sparkSession.sparkContext.broadcast((words, weights))
@@ -87,7 +132,7 @@ def lexicon_sentiment(df: DataFrame, lexicon: Mapping[str, float] = SENTIMENT, t
 
 def score_sentiment(
     df: DataFrame,
-    lexicon: Mapping[str, float] = SENTIMENT,
+    lexicon: Lexicon = SENTIMENT,
     tokens: str = "tokens",
     base: str = "probability",
     load: Callable[[], Scorer] | None = None,

@@ -12,7 +12,7 @@ from postsift.operators.linear import Linear, score_linear
 from postsift.operators.logreg import LogReg, score_logreg
 from postsift.operators.naive_bayes import NaiveBayes, score_nb, score_nb_tasks
 from postsift.operators.rows import normalize_rows, rename_result, with_tokens
-from postsift.operators.scorers import score_arrow, score_sentiment
+from postsift.operators.scorers import Lexicon, score_arrow, score_sentiment
 
 Model = NaiveBayes | LogReg | Linear | Callable
 
@@ -30,7 +30,7 @@ def score(df: DataFrame, model: Model) -> DataFrame:
     raise ValueError(f"cannot score with a {type(model).__name__}")
 
 
-def _selfharm(df: DataFrame, lexicon: Mapping[str, float], load: Callable | None) -> DataFrame:
+def _selfharm(df: DataFrame, lexicon: Lexicon, load: Callable | None) -> DataFrame:
     return selfharm_ensemble(score_sentiment(df, lexicon, load=load))
 
 
@@ -39,7 +39,7 @@ def score_task(
     model: Model,
     task: str,
     normalized: bool = False,
-    lexicon: Mapping[str, float] = SENTIMENT,
+    lexicon: Lexicon = SENTIMENT,
     sentiment: Callable | None = None,
 ) -> DataFrame:
     """Score one task: ``<task>_pred`` and ``<task>_prob``.
@@ -56,7 +56,7 @@ def score_task(
 def moderate(
     df: DataFrame,
     models: Mapping[str, Model],
-    lexicon: Mapping[str, float] = SENTIMENT,
+    lexicon: Lexicon = SENTIMENT,
     sentiment: Callable | None = None,
     normalize: bool = True,
     spam_min_prob: float | None = None,

@@ -17,6 +17,7 @@ from postsift.operators.linear import LinearConfig
 from postsift.operators.logreg import LogRegConfig
 from postsift.operators.rows import TASKS
 from postsift.operators.sampling import concat, sample_per_class, split_task
+from postsift.operators.scorers import Lexicon
 from postsift.plans.moderate import moderate, score_task
 from postsift.plans.train import fit_all_tasks, fit_task
 from postsift.sources.models import Model, load_model
@@ -115,7 +116,7 @@ class Workspace:
         data: str | DataFrame = "test_set",
         num_samples: float | str = "all",
         save: bool = True,
-        lexicon: Mapping[str, float] = SENTIMENT,
+        lexicon: Lexicon = SENTIMENT,
         sentiment: Callable | None = None,
         model: Model | Callable | None = None,
     ) -> DataFrame:
@@ -142,7 +143,7 @@ class Workspace:
         num_samples: float | str = "all",
         save: bool = False,
         normalize: bool = False,
-        lexicon: Mapping[str, float] = SENTIMENT,
+        lexicon: Lexicon = SENTIMENT,
         sentiment: Callable | None = None,
         spam_min_prob: float | None = None,
         floor: float = 0.51,

@@ -164,3 +164,22 @@ def test_what_holds_for_any_text(spark):
         for at, c in enumerate(out):
             if ord(c) in isolated_lower:
                 assert out[at - 1 : at] in ("", " ") and out[at + 1 : at + 2] in ("", " ")
+
+
+def test_words_of_scripts_without_blanks(spark):
+    texts = {
+        "我喜欢你": ["我喜", "喜欢", "欢你"],
+        "これはペンです": ["これ", "れは", "はペ", "ペン", "ンで", "です"],
+        "ภาษาไทย": ["ภา", "าษ", "ษา", "าไ", "ไท", "ทย"],
+        "ที่นี่ดี": ["ที่นี่", "นี่ดี"],  # a letter goes with the marks on it
+        "iphone手机very好": ["iphone", "手机", "very"],
+        "好": [],  # shorter than two characters, as any other word
+        "don't stop café naïve": ["don't", "stop", "café", "naïve"],
+        "한국어 문장": ["한국어", "문장"],
+        "𠀀𠀁𠀂": ["𠀀𠀁", "𠀁𠀂"],
+        "": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "data string")
+    got = {r.data: r.tokens for r in df.select("data", T.tokenize("data", normalized=True).alias("tokens")).collect()}
+    assert {k: v for k, v in got.items() if k != "don't stop café naïve"} == {k: v for k, v in texts.items() if k != "don't stop café naïve"}
+    assert got["don't stop café naïve"] == texts["don't stop café naïve"]
