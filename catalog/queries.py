@@ -30,12 +30,13 @@ from postsift.operators import evaluate as A
 from postsift.operators import fusion as E
 from postsift.operators import rows as P
 from postsift.operators import sampling as R
+from postsift.operators.linear import LinearConfig, fit_linear, score_linear
 from postsift.operators.logreg import LogRegConfig, fit_logreg, score_logreg
-from postsift.operators.naive_bayes import fit_nb, fit_nb_tasks, score_nb
+from postsift.operators.naive_bayes import fit_nb, fit_nb_chunks, fit_nb_tasks, score_nb
 from postsift.operators.ranking import seeded_key
-from postsift.operators.scorers import score_arrow, score_sentiment
+from postsift.operators.scorers import fit_lexicon, score_arrow, score_sentiment
 from postsift.plans.moderate import moderate, score_task
-from postsift.plans.train import fit_all, fit_task
+from postsift.plans.train import fit_all, fit_all_tasks as fit_together, fit_task
 from postsift.plans.workspace import Settings, Workspace
 from postsift.sources import posts as IO
 from postsift.sources.durable import durable, fresh_path
@@ -265,6 +266,16 @@ def tokenize(spark, sf_dir):
     return tokens.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+# For each letter one of a script that puts no blanks between words.
+UNSPACED_LETTERS = "的一是不了人我在有他这中大来上国个到说们为子和你地出"
+
+
+@query
+def tokenize_unspaced(spark, sf_dir):
+    made = F.translate(F.lower("data"), "abcdefghijklmnopqrstuvwxyz", UNSPACED_LETTERS)
+    return posts(spark, sf_dir).select("doc_id", F.array_join(T.tokenize(made, normalized=True), " ").alias("tokens"))
+
+
 @query
 def token_column(spark, sf_dir):
     rows = P.with_tokens(posts(spark, sf_dir))
@@ -386,7 +397,45 @@ def sentiment_lexicon(spark, sf_dir):
     return rounded(scored.select("doc_id", "sentiment_prediction", "sentiment_probability"), "sentiment_probability")
 
 
+@query
+def sentiment_fitted(spark, sf_dir):
+    """Weights learned from a few words of known sentiment, as a frame, of which a hundred words are broadcast."""
+    rows = with_stand_in(P.with_tokens(posts(spark, sf_dir)))
+    scored = score_sentiment(rows, fit_lexicon(rows, LEXICON))
+    return rounded(scored.select("doc_id", "sentiment_prediction", "sentiment_probability"), "sentiment_probability")
+
+
+@query
+def sentiment_words(spark, sf_dir):
+    return rounded(fit_lexicon(P.with_tokens(posts(spark, sf_dir)), LEXICON), "weight")
+
+
 CONFIG = LogRegConfig(epochs=10, features=1 << 16)
+ONE_STEP = LinearConfig(epochs=1, features=1 << 12, reg=0.0)
+
+
+@query
+def linear_score(spark, sf_dir):
+    """All posts by a regression that took one step down its gradient, saved and loaded."""
+    folder = fresh_path(spark, "models")
+    save_model(fit_linear(labelled_tokens(spark, sf_dir), ONE_STEP, "hatespeech"), folder, "hatespeech", spark)
+    scored = score_linear(P.with_tokens(posts(spark, sf_dir)), load_model(folder, "hatespeech", spark))
+    return rounded(scored.select("doc_id", "prediction", "probability"), "probability")
+
+
+@query
+def linear_continued(spark, sf_dir):
+    """A saved model goes on with other rows: by epoch, is its loss below that of one that begins with them, and
+    has it not risen?"""
+    folder, cfg = fresh_path(spark, "models"), LinearConfig(epochs=4, features=1 << 14, reg=1e-4)
+    rows = durable(labelled_tokens(spark, sf_dir), "labelled")
+    first, second = rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1")
+    fit_task(first, "linear", cfg, "hatespeech", folder=folder, task="hatespeech")
+    warm = fit_task(second, "linear", cfg, "hatespeech", start=load_model(folder, "hatespeech", spark))
+    cold = fit_task(second, "linear", cfg, "hatespeech")
+    steps = [(h[1], h[2], c[2]) for h, c in zip(warm.history[cfg.epochs + 1 :], cold.history, strict=True)]
+    told = [(e, w <= c, e == 0 or w <= steps[e - 1][1]) for e, w, c in steps]
+    return spark.createDataFrame(told, "epoch int, below boolean, falls boolean")
 
 
 @query
@@ -463,6 +512,16 @@ def fit_all_tasks(spark, sf_dir):
     return rounded(R.concat(*made), "weight")
 
 
+@query
+def fit_tasks_together(spark, sf_dir):
+    """Posts of all tasks in one frame, with the task in a column, counted in one pass."""
+    rows = labelled_tokens(spark, sf_dir)
+    tasks = F.explode(F.create_map(*[c for t in P.TASKS for c in (F.lit(t), F.col(t))])).alias("task", "label")
+    models = fit_together(rows.select("tokens", tasks), {t: "nb" for t in P.TASKS})
+    made = [m.weights.drop("n").withColumn("task", F.lit(t)) for t, m in models.items()]
+    return rounded(R.concat(*made), "weight")
+
+
 @query
 def score_dispatch(spark, sf_dir):
     """Naive Bayes through the one call, row by row."""
@@ -624,6 +683,14 @@ def loss_history(spark, sf_dir):
     return history.agg(ordered.alias("h")).select(*checks, F.size("h").between(2, CONFIG.epochs + 1).alias("within_epochs"))
 
 
+@query
+def loss_history_saved(spark, sf_dir):
+    """Held-out loss of naive Bayes as chunks of rows are added, from the loaded model."""
+    folder = fresh_path(spark, "models")
+    save_model(fit_nb_chunks(labelled_tokens(spark, sf_dir), "hatespeech"), folder, "hatespeech", spark)
+    return rounded(A.loss_history(load_model(folder, "hatespeech", spark), spark), "loss")
+
+
 @query
 def evaluation_report(spark, sf_dir):
     """The self-harm classifier and its ensemble, side by side."""

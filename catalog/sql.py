@@ -210,6 +210,56 @@ MODERATED = f"""{with_words(nb_scored("spam"), nb_scored("hatespeech"), nb_score
         sentiment_prediction, round(sentiment_probability, 4) AS sentiment_probability,
         selfharm_pred, round(selfharm_prob, 4) AS selfharm_prob FROM fused"""
 
+# Weights of words from the seeds of known sentiment.
+LEARNED = f"""{SENTIMENT.split("sent AS")[0]}
+    side AS (SELECT doc_id, sum(weight) > 0 AS up FROM word JOIN sent_w USING (token) GROUP BY doc_id HAVING sum(weight) <> 0),
+    sides AS (SELECT count(*) FILTER (up) AS u, count(*) FILTER (NOT up) AS d FROM side),
+    near AS (SELECT token, count(*) FILTER (up) AS u, count(*) FILTER (NOT up) AS d
+        FROM (SELECT DISTINCT doc_id, token FROM word) JOIN side USING (doc_id) GROUP BY token),
+    learned AS (SELECT token, ln((n.u + 1)::DOUBLE / (n.d + 1)) - ln((s.u + 1)::DOUBLE / (s.d + 1)) AS weight, n.u + n.d AS n
+        FROM near n, sides s WHERE n.u + n.d >= 5)"""
+
+# The CRC-32 of a token's bytes, bit by bit (reflected polynomial EDB88320).
+CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(range(0, strlen(token)),
+        lambda i: ('0x' || substr(hex(encode(token)), 2 * i + 1, 2))::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+ONE_STEP = f"""WITH {WORDS},
+    lab AS (SELECT doc_id, toxic AS y FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)),
+    placed AS (SELECT token, {CRC32} % 4096 AS place FROM (SELECT DISTINCT token FROM word)),
+    occ AS (SELECT doc_id, place, count(*) AS tf FROM word JOIN placed USING (token) GROUP BY ALL),
+    seen AS (SELECT place, count(*) AS n FROM occ JOIN lab USING (doc_id) GROUP BY place),
+    valued AS (SELECT doc_id, place, tf, ln(((SELECT count(*) FROM lab) + 1)::DOUBLE / (coalesce(n, 0) + 1)) AS idf FROM occ LEFT JOIN seen USING (place)),
+    scaled AS (SELECT doc_id, place, tf * idf / sqrt(sum(tf * idf * idf) OVER (PARTITION BY doc_id)) AS x FROM valued),
+    slope AS (SELECT place, sum((0.5 - y) * x) / (SELECT count(*) FROM lab) AS g FROM scaled JOIN lab USING (doc_id) GROUP BY place),
+    base AS (SELECT avg(0.5 - y)::DOUBLE AS g FROM lab),
+    size AS (SELECT sqrt(sum(s.g * s.g) + any_value(b.g) * any_value(b.g)) AS r FROM slope s, base b),
+    odds AS (SELECT doc_id, (coalesce(z, 0) - (SELECT g FROM base)) / (SELECT r FROM size) AS z FROM tok
+        LEFT JOIN (SELECT doc_id, -sum(x * g) AS z FROM scaled JOIN slope USING (place) GROUP BY doc_id) USING (doc_id))
+    SELECT doc_id, (z > 0)::INTEGER AS prediction, round(1 / (1 + exp(-abs(z))), 4) AS probability FROM odds"""
+
+CHUNKED = f"""WITH {WORDS},
+    lab AS (SELECT doc_id, toxic AS y FROM labels),
+    dealt AS (SELECT doc_id, y, tokens, CASE WHEN ('0x' || substr(md5(array_to_string(tokens, ' ')), 1, 8))::BIGINT % 10 = 0 THEN -1
+        ELSE ('0x' || substr(md5(array_to_string(tokens, ' ')), 9, 8))::BIGINT % 5 END AS chunk FROM tok JOIN lab USING (doc_id)),
+    upto AS (SELECT unnest(range(5)) AS k),
+    prior AS (SELECT k, ln((count(*) FILTER (y = 1))::DOUBLE / count(*) FILTER (y = 0)) AS p FROM dealt JOIN upto ON chunk BETWEEN 0 AND k GROUP BY k),
+    counts AS (SELECT k, token, count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0
+        FROM (SELECT y, chunk, unnest(tokens) AS token FROM dealt) JOIN upto ON chunk BETWEEN 0 AND k GROUP BY ALL),
+    totals AS (SELECT k, sum(n1) AS t1, sum(n0) AS t0, count(*) AS v FROM counts GROUP BY k),
+    weights AS (SELECT k, token, ln((n1 + 1)::DOUBLE / (t1 + v)) - ln((n0 + 1)::DOUBLE / (t0 + v)) AS weight FROM counts JOIN totals USING (k)),
+    sums AS (SELECT k, doc_id, sum(weight) AS s FROM (SELECT doc_id, unnest(tokens) AS token FROM dealt WHERE chunk = -1) JOIN weights USING (token) GROUP BY ALL),
+    odds AS (SELECT k, CASE WHEN y = 1 THEN -(coalesce(s, 0) + p) ELSE coalesce(s, 0) + p END AS z
+        FROM (SELECT doc_id, y FROM dealt WHERE chunk = -1) CROSS JOIN prior LEFT JOIN sums USING (k, doc_id))
+    SELECT k::INTEGER AS iteration, round(avg(greatest(z, 0) + ln(1 + exp(-abs(z)))), 4) AS loss FROM odds GROUP BY k"""
+
+UNSPACED = """WITH told AS (SELECT doc_id, regexp_split_to_array(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '的一是不了人我在有他这中大来上国个到说们为子和你地出'), '\\s+') AS w FROM documents),
+    runs AS (SELECT doc_id, flatten(list_transform(w, lambda x: regexp_extract_all(x, '[\\p{Han}]+|[^\\p{Han}]+'))) AS r FROM told),
+    cut AS (SELECT doc_id, flatten(list_transform(r, lambda x: CASE WHEN regexp_matches(x, '^\\p{Han}') AND length(x) > 1
+        THEN list_transform(range(1, length(x)), lambda i: substr(x, i, 2)) ELSE [x] END)) AS t FROM runs)
+    SELECT doc_id, array_to_string(list_filter(t, lambda x: length(x) >= 2), ' ') AS tokens FROM cut"""
+
 DISPATCHED = HATE + "SELECT doc_id, pred AS hatespeech_pred, round(prob, 4) AS hatespeech_prob FROM hatespeech_r"
 
 SQL = {
@@ -293,6 +343,18 @@ SQL = {
     " round(1 / (1 + exp(-4 * abs(hatespeech_prob - spam_prob))), 4) AS probability FROM base",
     "sentiment_lexicon": f"""{with_words(SENTIMENT, _stand_in())} SELECT doc_id, coalesce(sp, 1) AS sentiment_prediction,
         round(coalesce(sq, probability), 4) AS sentiment_probability FROM base LEFT JOIN sent USING (doc_id)""",
+    "sentiment_words": with_words(LEARNED) + "SELECT token, round(weight, 4) AS weight, n FROM learned",
+    "sentiment_fitted": f"""{with_words(LEARNED, _stand_in())}, sent AS (SELECT doc_id, sum(weight) AS s FROM word JOIN learned USING (token) GROUP BY doc_id)
+        SELECT doc_id, coalesce((s < 0)::INTEGER, 1) AS sentiment_prediction,
+        round(coalesce(1 / (1 + exp(-abs(s))), probability), 4) AS sentiment_probability FROM base LEFT JOIN sent USING (doc_id)""",
+    "linear_score": ONE_STEP,
+    "linear_continued": "SELECT unnest(range(5))::INTEGER AS epoch, true AS below, true AS falls",
+    "loss_history_saved": CHUNKED,
+    "tokenize_unspaced": UNSPACED,
+    "fit_tasks_together": with_words(nb("spam"), nb("hatespeech"), nb("selfharm"))
+    + " UNION ALL ".join(
+        f"SELECT token, round(weight, 4) AS weight, '{t}' AS task FROM {t}_w" for t in ("spam", "hatespeech", "selfharm")
+    ),
     "fit_task_saved": with_words(nb("spam")) + NB_WEIGHTS.format("spam"),
     "fit_all_tasks": with_words(nb("spam"), nb("hatespeech"), nb("selfharm"))
     + " UNION ALL ".join(
