@@ -17,7 +17,9 @@ import re
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +31,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Mapped = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-BATCH = 10_000  # records given out at a time
 SPLIT = "file string, block bigint, opens boolean, n bigint, opens_inside boolean, n_inside bigint"
 PIECE = "number bigint, block bigint, rank bigint, head boolean, whole boolean, record string"
 
@@ -47,27 +48,50 @@ def ends_inside(line: str, inside: bool) -> bool:
     return (_FROM_INSIDE if inside else _FROM_START).match(line) is not None
 
 
-def _blank(line: str) -> bool:
-    return line in ("", "\r")
+def _runs(batch: pa.RecordBatch, *keys: str) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that agree in their keys, one after the other."""
+    change = np.zeros(max(0, batch.num_rows - 1), bool)
+    for key in keys:
+        column = batch.column(key)
+        change |= pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, max(0, batch.num_rows - 1))), True).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+    return ((i, j) for i, j in zip(cuts, cuts[1:], strict=False) if i < j)
+
+
+def _turns(lines: pa.Array) -> np.ndarray:
+    """Lines that can change the state: those with an odd number of quotes in a row somewhere. Any other line ends
+    in the state in which it began: inside of a field it holds doubled quotes, and else its fields are closed."""
+    return np.flatnonzero(pc.match_substring(pc.replace_substring(lines, '""', ""), '"').to_numpy(zero_copy_only=False))
+
+
+def _filled(lines: pa.Array) -> np.ndarray:
+    """Whether there is anything in a line."""
+    return pc.invert(pc.or_(pc.equal(pc.binary_length(lines), 0), pc.equal(lines, "\r"))).to_numpy(zero_copy_only=False)
+
+
+def _states(lines: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
+    """The state in which each line begins, and that after the last one."""
+    before = np.full(len(lines), inside)
+    for i in _turns(lines).tolist():
+        state = ends_inside(lines[i].as_py(), inside)
+        if state != inside:
+            before[i + 1 :] = inside = state
+    return before, inside
 
 
 def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each split: does it end inside of a field, and how many records start in it, from either state."""
-    at, states, counts, out = None, [False, True], [0, 0], []
+    out: list[list] = []
     for batch in batches:
-        for file, block, line in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
-            if (file, block) != at:
-                if at is not None:
-                    out.append((*at, states[0], counts[0], states[1], counts[1]))
-                at, states, counts = (file, block), [False, True], [0, 0]
-            if not _blank(line):
-                counts[0] += not states[0]
-                counts[1] += not states[1]
-            if '"' in line:
-                one = ends_inside(line, states[0])
-                states = [one, one if states[0] == states[1] else ends_inside(line, states[1])]
-    if at is not None:
-        out.append((*at, states[0], counts[0], states[1], counts[1]))
+        for i, j in _runs(batch, "file", "block"):
+            at = [batch.column("file")[i].as_py(), batch.column("block")[i].as_py()]
+            if not out or out[-1][:2] != at:
+                out.append([*at, False, 0, True, 0])
+            lines = batch.column("value").slice(i, j - i)
+            filled = _filled(lines)
+            for k in (2, 4):
+                before, out[-1][k] = _states(lines, out[-1][k])
+                out[-1][k + 1] += int((filled & ~before).sum())
     kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64())
     columns = list(zip(*out, strict=True)) if out else [[]] * 6
     yield pa.RecordBatch.from_arrays(
@@ -95,59 +119,69 @@ def scan_splits(splits: DataFrame) -> DataFrame:
     return known.select("file", "block", "inside", number.alias("first"), rank.alias("rank"), open_.alias("open"))
 
 
+def _given(number: list | np.ndarray, block: int, rank: int, head: list | np.ndarray, whole: bool, records: pa.Array) -> pa.RecordBatch:
+    n = len(records)
+    columns = [pa.array(number, pa.int64()), pa.array([block] * n, pa.int64()), pa.array([rank] * n, pa.int64()), pa.array(head, pa.bool_())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([whole] * n, pa.bool_()), records], names=["number", "block", "rank", "head", "whole", "record"])
+
+
 def assembler(header: bool, pieces: bool) -> Mapped:
     """Records of the splits of a task: those that lie in one split, or the pieces of all others."""
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, out = None, [], []
+        at, held = None, []  # the split at hand, and the parts of a record that is not complete yet
         inside, carried = False, False
-        number, block, rank, first = 0, 0, 0, 0
+        number, first = 0, 0
 
-        def closed(whole: bool) -> None:
-            """Give out what is held: a record, or its part in this split."""
+        def closed(whole: bool) -> Iterator[pa.RecordBatch]:
+            """What is held: a record, or its part in this split."""
             whole = whole and not carried
-            if whole != pieces:
+            if held and whole != pieces:
                 text = "\n".join(held)
-                head = header and block == 0 and not carried and number == first
-                out.append((number, block, rank, head, whole, text.removesuffix("\r") if whole else text))
+                head = header and at[1] == 0 and not carried and number == first
+                yield _given([number], at[1], at[0], [head], whole, pa.array([text.removesuffix("\r") if whole else text]))
             held.clear()
 
-        def given() -> pa.RecordBatch:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)]
-            out.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["number", "block", "rank", "head", "whole", "record"])
-
         for batch in batches:
-            names = ("file", "block", "value", "inside", "first", "rank")
-            for file, start, line, begins, base, of in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                if (file, start) != at:
-                    if held:
-                        closed(False)
-                    if base is None:
-                        raise RuntimeError(f"{file} was split in other places when it was looked at first; read it anew")
-                    at, block, rank, first = (file, start), start, of, base
-                    inside, carried, number = begins, begins, base - 1  # a record that goes on is the last of those before
-                if not inside:
-                    if _blank(line):
-                        continue
-                    carried, number = False, number + 1
-                held.append(line)
-                inside = ends_inside(line, inside)
+            for i, j in _runs(batch, "rank", "block"):
+                split = (batch.column("rank")[i].as_py(), batch.column("block")[i].as_py())
+                if split != at:
+                    yield from closed(False)
+                    if split[0] is None:
+                        raise RuntimeError("the files were split in other places when they were looked at first; read them anew")
+                    at, first, inside = split, batch.column("first")[i].as_py(), batch.column("inside")[i].as_py()
+                    carried, number = inside, first - 1  # a record that goes on is the last of those before
+                lines = batch.column("value").slice(i, j - i)
+                before, inside = _states(lines, inside)
+                keep = before | _filled(lines)
+                lines, before = lines.filter(pa.array(keep)), before[keep]
+                starts = np.flatnonzero(~before)
+                upto = int(starts[0]) if len(starts) else len(lines)
+                if upto:  # of the record that is held
+                    held.append("\n".join(lines.slice(0, upto).to_pylist()))
+                if len(starts):
+                    yield from closed(True)
+                    offsets = pa.array(np.append(starts, len(lines)).astype(np.int32))
+                    records = pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+                    carried = False
+                    done = len(records) - inside
+                    if done and not pieces:
+                        numbers = number + 1 + np.arange(done)
+                        head = (numbers == first) & (header and at[1] == 0)
+                        yield _given(numbers, at[1], at[0], head, True, pc.replace_substring_regex(records.slice(0, done), r"\r\z", ""))
+                    number += len(records)
+                    if inside:
+                        held.append(records[done].as_py())
                 if not inside:
-                    closed(True)
-            if len(out) >= BATCH:
-                yield given()
-        if held:
-            closed(False)
-        yield given()
+                    yield from closed(True)
+        yield from closed(False)
 
     return assemble
 
 
 def _numbered(lines: DataFrame, splits: DataFrame, header: bool) -> DataFrame:
     placed = lines.join(F.broadcast(splits.drop("open")), ["file", "block"], "left")  # one row per split; keeps the order of lines
-    placed = placed.select("file", "block", "value", "inside", "first", "rank")
+    placed = placed.select("rank", "block", "value", "inside", "first")
     position = F.col("number") - (F.col("rank") if header else 0)
     out = placed.mapInArrow(assembler(header, False), PIECE).where("not head").select(position.alias("position"), "rank", "record")
     if splits.where("open").limit(1).count():

@@ -4,6 +4,7 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 
 from postsift.operators import sampling as R
@@ -150,10 +151,21 @@ def test_first_rows_of_a_class_in_file_order(spark, tmp_path, small_splits, fmt)
     assert sorted(map(tuple, got.select("data", "label").collect())) == sorted(expected)
 
 
-def test_batches_do_not_matter(spark, tmp_path, monkeypatch, small_splits):
-    monkeypatch.setattr(records, "BATCH", 1)
+def test_batches_do_not_matter(spark, tmp_path, small_splits):
     rows = [(t, 1) for t in texts(7, 100)]
     path = tmp_path / "h.csv"
     write(path, rows)
-    got = sorted(read_quoted_csv(spark, str(path), SCHEMA, IO.CSV_OPTIONS, "position").collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted(read_quoted_csv(spark, str(path), SCHEMA, IO.CSV_OPTIONS, "position").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert [(r.data, r.label) for r in got] == rows
+
+
+def test_lines_that_cannot_change_the_state_do_not():
+    rng = random.Random(8)
+    for _ in range(3000):
+        line = "".join(rng.choice(["a", ",", '""', '"']) for _ in range(rng.randint(0, 7)))
+        if not len(records._turns(pa.array([line]))):
+            assert (ends_inside(line, False), ends_inside(line, True)) == (False, True), line
