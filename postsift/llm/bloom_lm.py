@@ -3,9 +3,11 @@
 The filter holds, for each n-gram seen ``c`` times in training, the pairs
 (n-gram, 1) ... (n-gram, 1 + floor(log2 c)). How often an n-gram was seen is
 found by probing level after level until one is missing; a false positive can
-raise a count by one level, and never lowers it. The filter grows with the
-corpus. Up to FILTER_BITS it is broadcast; beyond, n-grams of runs of texts go
-to the parts of the filter that they fall in, and their levels come back.
+raise a count by one level, and never lowers it. Every part of the filter has
+BITS_PER_ENTRY bits for each pair it holds, so it grows with the distinct
+n-grams of the corpus, and copies of texts take no room. Up to FILTER_BITS it
+is broadcast; beyond, n-grams of runs of texts go to the parts of the filter
+that they fall in, and their levels come back.
 
 Counting: tasks hash and count the n-grams of their texts in runs, and send
 the counts, packed, to the task that owns the hash range. That task merges
@@ -30,8 +32,9 @@ from postsift.sources.durable import durable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILTER_BITS = 1 << 29  # 64 MB: the largest filter that is broadcast; a larger one stays in parts
-CHUNKS = 4  # runs of texts in an Arrow batch, of words.SLICE bytes each
-BITS_PER_TOKEN = 8
+CHUNK = 8 << 20  # bytes of texts that ask for their n-grams together, if the filter is not broadcast
+BITS_PER_ENTRY = 10
+LEAST_BITS = 1 << 10  # of a part of the filter
 PROBES = 4
 HEAD_TOKENS = 1_000_000  # exact counts broadcast (12 bytes each); those of rarer tokens are joined
 PART_TOKENS = 1 << 20  # training tokens for each part of the filter
@@ -43,7 +46,7 @@ END = np.uint64(0x14057B7EF767814F)
 ORDER = np.uint64(0x9FB21C651E98DF25)
 GOLDEN = 0x9E3779B97F4A7C15
 PACKED = "part int, kind int, hashes binary, counts binary"
-MERGED = "part int, bits binary, tokens array<bigint>, counts array<bigint>"
+MERGED = "part int, size bigint, bits binary, tokens array<bigint>, counts array<bigint>"
 CHUNKED = "chunk bigint, rid array<bigint>, doc_id array<bigint>, held_out array<boolean>, texts array<string>"
 PROBES_SENT = "chunk bigint, part int, hashes binary"
 LEVELS = "chunk bigint, part int, levels binary"
@@ -74,12 +77,13 @@ def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
-def level_positions(hashes: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """The places, within its part of the filter, that stand for an n-gram at a level, by the first 48 bits of its hash."""
+def level_positions(hashes: np.ndarray, level: int, bits: int | np.ndarray) -> Iterator[np.ndarray]:
+    """The places, within its part of the filter (of ``bits`` bits), that stand for an n-gram at a level, by the first 48 bits of its hash."""
+    bits = np.asarray(bits, np.uint64)
     h = mixed((hashes >> np.uint64(16)) + np.uint64(level * GOLDEN % (1 << 64)))
     one, two = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
-        yield (one + np.uint64(i) * two) % np.uint64(bits)
+        yield (one + np.uint64(i) * two) % bits
 
 
 def counter(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -115,44 +119,45 @@ def counter(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return count
 
 
-def merger(bits: int) -> Callable[[pa.Table], pa.Table]:
-    def merge(table: pa.Table) -> pa.Table:
-        field = np.zeros(bits, bool)
-        kinds = table.column("kind").to_numpy()
-        out = None
-        for kind in (1, 2):
-            at = np.flatnonzero(kinds == kind)
-            hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint64) for i in at)])
-            counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(table.column("counts")[int(i)].as_buffer(), np.uint32) for i in at)])
-            hashes, where = np.unique(hashes, return_inverse=True)
-            counts = np.bincount(where, counts, len(hashes)).astype(np.int64)
-            if kind == 1:
-                out = hashes.view(np.int64), counts
-            level = 1
-            while len(hashes):
-                for places in level_positions(hashes, level, bits):
-                    field[places] = True
-                stay = counts >= 1 << level
-                hashes, counts, level = hashes[stay], counts[stay], level + 1
-        return pa.table(
-            {
-                "part": pa.array([table.column("part")[0].as_py()], pa.int32()),
-                "bits": pa.array([np.packbits(field, bitorder="little").tobytes()], pa.binary()),
-                "tokens": pa.array([out[0]], pa.list_(pa.int64())),
-                "counts": pa.array([out[1]], pa.list_(pa.int64())),
-            }
-        )
-
-    return merge
+def merge(table: pa.Table) -> pa.Table:
+    """One part of the filter, and the counts of its tokens, out of what tasks counted."""
+    kinds = table.column("kind").to_numpy()
+    seen = {}
+    for kind in (1, 2):
+        at = np.flatnonzero(kinds == kind)
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint64) for i in at)])
+        counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(table.column("counts")[int(i)].as_buffer(), np.uint32) for i in at)])
+        hashes, where = np.unique(hashes, return_inverse=True)
+        seen[kind] = hashes, np.bincount(where, counts, len(hashes)).astype(np.int64)
+    entries = sum(int(np.frexp(counts)[1].sum()) for _, counts in seen.values())  # an n-gram has a pair for each bit of its count
+    bits = max(LEAST_BITS, BITS_PER_ENTRY * entries)
+    bits += -bits % 64
+    field = np.zeros(bits, bool)
+    for hashes, counts in seen.values():
+        level = 1
+        while len(hashes):
+            for places in level_positions(hashes, level, bits):
+                field[places] = True
+            stay = counts >= 1 << level
+            hashes, counts, level = hashes[stay], counts[stay], level + 1
+    return pa.table(
+        {
+            "part": pa.array([table.column("part")[0].as_py()], pa.int32()),
+            "size": pa.array([bits], pa.int64()),
+            "bits": pa.array([np.packbits(field, bitorder="little").tobytes()], pa.binary()),
+            "tokens": pa.array([seen[1][0].view(np.int64)], pa.list_(pa.int64())),
+            "counts": pa.array([seen[1][1]], pa.list_(pa.int64())),
+        }
+    )
 
 
 @dataclass
 class Shared:
-    """What each executor gets: the filter by parts, exact counts of frequent tokens, and totals."""
+    """What each executor gets: the filter, part after part, exact counts of frequent tokens, and totals."""
 
     field: np.ndarray | None  # None if too large to be broadcast
     parts: int
-    bits: int
+    starts: np.ndarray  # the first bit of each part, and the end of the last
     head: np.ndarray
     head_counts: np.ndarray
     whole: bool  # whether the head holds every token
@@ -161,14 +166,15 @@ class Shared:
     texts: int
 
 
-def levels_of(field: np.ndarray, row: np.ndarray, hashes: np.ndarray, bits: int, most: int) -> np.ndarray:
-    """The highest level at which each n-gram is found in its row of the filter, at most ``most``; 0 if at none."""
+def levels_of(field: np.ndarray, start: np.ndarray, bits: np.ndarray, hashes: np.ndarray, most: int) -> np.ndarray:
+    """The highest level, at most ``most``, at which each n-gram is found among its part's ``bits`` bits from ``start`` on; 0 if at none."""
     found = np.zeros(len(hashes), np.uint8)
     live, level = np.arange(len(hashes)), 1
     while len(live) and level <= most:
         hit = np.ones(len(live), bool)
-        for places in level_positions(hashes[live], level, bits):
-            byte = field[row[live], (places >> np.uint64(3)).astype(np.int64)]
+        for places in level_positions(hashes[live], level, bits[live]):
+            places = places + start[live]
+            byte = field[(places >> np.uint64(3)).astype(np.int64)]
             hit &= (byte >> (places & np.uint64(7)).astype(np.uint8)) & 1 == 1
         live = live[hit]
         found[live] = level
@@ -184,8 +190,10 @@ def estimates(levels: np.ndarray, total: int) -> np.ndarray:
 
 def probed(shared: Shared, hashes: np.ndarray) -> np.ndarray:
     """About how often each n-gram was seen, by the broadcast filter."""
-    row = part_of(hashes, shared.parts).astype(np.int64)
-    return estimates(levels_of(shared.field, row, hashes, shared.bits, shared.total.bit_length()), shared.total)
+    part = part_of(hashes, shared.parts).astype(np.int64)
+    start = shared.starts[part]
+    levels = levels_of(shared.field, start, shared.starts[part + 1] - start, hashes, shared.total.bit_length())
+    return estimates(levels, shared.total)
 
 
 def scored_texts(batch: pa.RecordBatch, runs: Runs, shared: Shared, counted: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
@@ -240,11 +248,24 @@ def scorer(share: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of texts as rows, named by the first text's rid."""
+    """Runs of texts, of CHUNK bytes or one more slice, as rows, named by the first text's rid."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def row() -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        columns = [whole.column(c).combine_chunks() for c in ("rid", "doc_id", "held_out")] + [whole.column("text").cast(pa.string()).combine_chunks()]
+        lists = [pa.ListArray.from_arrays(pa.array([0, whole.num_rows], pa.int32()), c) for c in columns]
+        return pa.RecordBatch.from_arrays([columns[0][:1], *lists], names=["chunk", "rid", "doc_id", "held_out", "texts"])
+
     for batch in slices(batches, "text"):
-        columns = [batch.column("rid"), batch.column("doc_id"), batch.column("held_out"), batch.column("text").cast(pa.string())]
-        lists = [pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), c) for c in columns]
-        yield pa.RecordBatch.from_arrays([batch.column("rid")[:1], *lists], names=["chunk", "rid", "doc_id", "held_out", "texts"])
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= CHUNK:
+            yield row()
+            held, size = [], 0
+    if held:
+        yield row()
 
 
 def ngrams(runs: Runs) -> np.ndarray:
@@ -274,7 +295,7 @@ def asker(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return ask
 
 
-def answerer(bits: int, most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def answerer(most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The levels of the n-grams that fall in one part of the filter."""
 
     def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
@@ -283,8 +304,9 @@ def answerer(bits: int, most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             short = np.frombuffer(sent.as_buffer(), np.uint8).reshape(-1, 6)
             hashes = np.pad(short, ((0, 0), (2, 0))).view("<u8").ravel()
             if model.num_rows:
-                field = np.frombuffer(model.column("bits")[0].as_buffer(), np.uint8)[None]
-                packed.append(levels_of(field, np.zeros(len(hashes), np.int64), hashes, bits, most).tobytes())
+                field = np.frombuffer(model.column("bits")[0].as_buffer(), np.uint8)
+                bits = np.full(len(hashes), 8 * len(field), np.uint64)
+                packed.append(levels_of(field, np.zeros(len(hashes), np.uint64), bits, hashes, most).tobytes())
             else:
                 packed.append(bytes(len(hashes)))
         return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "levels": pa.array(packed, pa.binary())})
@@ -315,9 +337,9 @@ def scored_by_parts(docs: DataFrame, model: DataFrame, shared: Shared, share: Br
     """The scores by a filter that is too large to be broadcast."""
     with small_batches(docs.sparkSession):
         chunks = durable(docs.mapInArrow(chunker, CHUNKED), "chunks")
-    with small_batches(docs.sparkSession, CHUNKS):
+    with small_batches(docs.sparkSession, 1):
         asked = chunks.select("chunk", "texts").mapInArrow(asker(shared.parts), PROBES_SENT)
-        answers = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answerer(shared.bits, shared.total.bit_length()), LEVELS)
+        answers = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answerer(shared.total.bit_length()), LEVELS)
         answers = durable(answers, "levels")
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(chunk_scorer(share), SCORED)
 
@@ -331,11 +353,9 @@ def fitted(train: DataFrame, head_tokens: int, filter_bits: int) -> tuple[Shared
     """As ``fit``, and the filter's parts as (part, bits)."""
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // (6 * PART_TOKENS)))
-    bits = -(-max(BITS_PER_TOKEN * size // 6, 1 << 16) // parts)
-    bits += -bits % 64
     packed = train.select("text").mapInArrow(counter(parts), PACKED)
     with small_batches(train.sparkSession):
-        model = durable(packed.groupBy("part").applyInArrow(merger(bits), MERGED), "ngrams")
+        model = durable(packed.groupBy("part").applyInArrow(merge, MERGED), "ngrams")
     counts = model.select(F.explode(F.arrays_zip("tokens", "counts")).alias("t")).select(
         F.col("t.tokens").alias("token"), F.col("t.counts").alias("c")
     )
@@ -352,13 +372,18 @@ def fitted(train: DataFrame, head_tokens: int, filter_bits: int) -> tuple[Shared
     head = counts.where(F.col("c") >= least).toArrow()
     tokens, seen = (head.column(i).to_numpy().astype(np.int64) for i in (0, 1))
     order = np.argsort(tokens.view(np.uint64))
-    field = None
-    if parts * bits <= filter_bits:
-        field = np.zeros((parts, bits // 8), np.uint8)
+    field, starts = None, np.zeros(0, np.uint64)
+    if (model.agg(F.sum("size")).first()[0] or 0) <= filter_bits:
+        starts = np.zeros(parts + 1, np.uint64)
+        for row in model.select("part", "size").toLocalIterator():
+            starts[row["part"] + 1] = row["size"]
+        starts = np.cumsum(starts, dtype=np.uint64)
+        field = np.zeros(max(1, int(starts[-1]) // 8), np.uint8)
         for row in model.select("part", "bits").toLocalIterator():  # the filter is bounded; a file at a time spares the driver a second copy
-            field[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+            at = int(starts[row["part"]]) // 8
+            field[at : at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
     shared = Shared(
-        field, parts, bits, tokens.view(np.uint64)[order], seen[order].astype(np.uint32 if not len(seen) or seen.max() < 1 << 32 else np.int64),
+        field, parts, starts, tokens.view(np.uint64)[order], seen[order].astype(np.uint32 if not len(seen) or seen.max() < 1 << 32 else np.int64),
         least == 1, total or 0, distinct or 0, texts or 0,
     )
     return shared, counts, model.select("part", "bits")
