@@ -31,7 +31,7 @@ from postsift.sources.durable import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-FILTER_BITS = 1 << 29  # 64 MB: the largest filter that is broadcast; a larger one stays in parts
+FILTER_BITS = 1 << 26  # 8 MB: the largest filter that is broadcast; a larger one stays in parts
 CHUNK = 8 << 20  # bytes of texts that ask for their n-grams together, if the filter is not broadcast
 BITS_PER_ENTRY = 10
 LEAST_BITS = 1 << 10  # of a part of the filter
@@ -86,13 +86,26 @@ def level_positions(hashes: np.ndarray, level: int, bits: int | np.ndarray) -> I
         yield (one + np.uint64(i) * two) % bits
 
 
+def short(hashes: np.ndarray) -> bytes:
+    """The first 48 bits of each hash, which are all that the filter looks at."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def long(packed: pa.BinaryScalar) -> np.ndarray:
+    """Hashes out of their first 48 bits; the others are 0."""
+    return np.pad(np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 6), ((0, 0), (2, 0))).view("<u8").ravel()
+
+
 def counter(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def packed(kind: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = np.unique(np.concatenate(held), return_counts=True)
+        """Tokens with all of their hash, pairs with 48 bits; counts as bytes if they all fit."""
+        hashes = np.concatenate(held)
+        hashes, counts = np.unique(hashes if kind == 1 else hashes & ~np.uint64(0xFFFF), return_counts=True)
+        counts = counts.astype(np.uint8 if counts.max() < 256 else np.uint32)
         part = part_of(hashes, parts)
         cut = np.flatnonzero(np.diff(part)) + 1
         rows = [
-            (int(part[s]), kind, hashes[s:e].tobytes(), counts[s:e].astype(np.uint32).tobytes())
+            (int(part[s]), kind, hashes[s:e].tobytes() if kind == 1 else short(hashes[s:e]), counts[s:e].tobytes())
             for s, e in zip([0, *cut], [*cut, len(hashes)], strict=True)
         ]
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -124,9 +137,12 @@ def merge(table: pa.Table) -> pa.Table:
     kinds = table.column("kind").to_numpy()
     seen = {}
     for kind in (1, 2):
-        at = np.flatnonzero(kinds == kind)
-        hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(table.column("hashes")[int(i)].as_buffer(), np.uint64) for i in at)])
-        counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(table.column("counts")[int(i)].as_buffer(), np.uint32) for i in at)])
+        sent, counted = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+        for i in np.flatnonzero(kinds == kind):
+            packed, n = table.column("hashes")[int(i)], table.column("counts")[int(i)].as_buffer()
+            sent.append(np.frombuffer(packed.as_buffer(), np.uint64) if kind == 1 else long(packed))
+            counted.append(np.frombuffer(n, np.uint8 if n.size == len(sent[-1]) else np.uint32))
+        hashes, counts = np.concatenate(sent), np.concatenate(counted)
         hashes, where = np.unique(hashes, return_inverse=True)
         seen[kind] = hashes, np.bincount(where, counts, len(hashes)).astype(np.int64)
     entries = sum(int(np.frexp(counts)[1].sum()) for _, counts in seen.values())  # an n-gram has a pair for each bit of its count
@@ -268,10 +284,15 @@ def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def ngrams(runs: Runs) -> np.ndarray:
-    """The distinct tokens and pairs of a run of texts, in order."""
-    tokens, context, _ = with_ends(runs.hashes, runs.first)
-    return np.unique(np.concatenate([tokens, pair_hash(context, tokens)]))
+def ngrams(words: Words, texts: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[pa.RecordBatch, Runs]]]:
+    """The distinct tokens and pairs of a run of texts, in order, and the texts' words, a slice at a time."""
+    found, cut = [np.zeros(0, np.uint64)], []
+    for batch in slices(iter([texts]), "text"):
+        runs = words(batch.column("text"))
+        tokens, context, _ = with_ends(runs.hashes, runs.first)
+        found.append(np.unique(np.concatenate([tokens, pair_hash(context, tokens)])))
+        cut.append((batch, runs))
+    return np.unique(np.concatenate(found)), cut
 
 
 def asker(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -281,12 +302,12 @@ def asker(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
         words = Words(lower=True)
         for batch in batches:
             for i, chunk in enumerate(batch.column("chunk").to_pylist()):
-                hashes = ngrams(words(batch.column("texts").slice(i, 1).flatten()))
+                texts = batch.column("texts").slice(i, 1).flatten()
+                hashes, _ = ngrams(words, pa.RecordBatch.from_arrays([texts], names=["text"]))
                 part = part_of(hashes, parts)
                 cut = np.flatnonzero(np.diff(part)) + 1
                 first = np.array([0, *cut])
-                short = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]  # what the filter looks at: 6 bytes
-                packed = [short[s:e].tobytes() for s, e in zip(first, [*cut, len(hashes)], strict=True)]
+                packed = [short(hashes[s:e]) for s, e in zip(first, [*cut, len(hashes)], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * len(first), pa.int64()), pa.array(part[first].astype(np.int32)), pa.array(packed, pa.binary())],
                     names=["chunk", "part", "hashes"],
@@ -301,8 +322,7 @@ def answerer(most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
         packed = []
         for sent in asked.column("hashes"):
-            short = np.frombuffer(sent.as_buffer(), np.uint8).reshape(-1, 6)
-            hashes = np.pad(short, ((0, 0), (2, 0))).view("<u8").ravel()
+            hashes = long(sent)
             if model.num_rows:
                 field = np.frombuffer(model.column("bits")[0].as_buffer(), np.uint8)
                 bits = np.full(len(hashes), 8 * len(field), np.uint64)
@@ -324,11 +344,14 @@ def chunk_scorer(share: Broadcast) -> Callable[[pa.Table, pa.Table], pa.Table]:
         shared = Shared(*share.value)
         names = {"rid": "rid", "doc_id": "doc_id", "held_out": "held_out", "texts": "text"}
         batch = pa.RecordBatch.from_arrays([chunk.column(c).combine_chunks().flatten() for c in names], names=list(names.values()))
-        runs = kept[0](batch.column("text"))
-        hashes = ngrams(runs)
+        hashes, cut = ngrams(kept[0], batch)
         sent = answers.sort_by("part").column("levels")
-        counts = estimates(np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in sent]), shared.total)
-        return pa.Table.from_batches([scored_texts(batch, runs, shared, lambda h: counts[np.searchsorted(hashes, h)])])
+        levels = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in sent])
+
+        def counted(asked: np.ndarray) -> np.ndarray:
+            return estimates(levels[np.searchsorted(hashes, asked)], shared.total)
+
+        return pa.Table.from_batches([scored_texts(part, runs, shared, counted) for part, runs in cut])
 
     return score
 
