@@ -22,6 +22,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ ORDER = np.uint64(0x9FB21C651E98DF25)
 GOLDEN = 0x9E3779B97F4A7C15
 PACKED = "part int, kind int, hashes binary, counts binary"
 MERGED = "part int, size bigint, bits binary, tokens array<bigint>, counts array<bigint>"
-CHUNKED = "chunk bigint, rid array<bigint>, doc_id array<bigint>, held_out array<boolean>, texts array<string>"
+CHUNKED = "chunk bigint, rid bigint, doc_id bigint, held_out boolean, text string"
 PROBES_SENT = "chunk bigint, part int, hashes binary"
 LEVELS = "chunk bigint, part int, levels binary"
 SCORED = (
@@ -263,55 +264,60 @@ def scorer(share: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return score
 
 
+def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of some CHUNK bytes of texts, named by their first rid, piece by piece; where they end does not depend on the batches."""
+    chunk, number, upto = 0, -1, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers = (upto + np.cumsum(sizes) - sizes) // CHUNK
+        upto += int(sizes.sum())
+        cut = np.flatnonzero(np.diff(numbers)) + 1
+        for s, e in zip([0, *cut], [*cut, len(numbers)], strict=True):
+            if s == e:
+                continue
+            if numbers[s] != number:
+                chunk, number = batch.column("rid")[int(s)].as_py(), numbers[s]
+            yield chunk, batch.slice(int(s), int(e - s))
+
+
 def chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of texts, of CHUNK bytes or one more slice, as rows, named by the first text's rid."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-
-    def row() -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held).combine_chunks()
-        columns = [whole.column(c).combine_chunks() for c in ("rid", "doc_id", "held_out")] + [whole.column("text").cast(pa.string()).combine_chunks()]
-        lists = [pa.ListArray.from_arrays(pa.array([0, whole.num_rows], pa.int32()), c) for c in columns]
-        return pa.RecordBatch.from_arrays([columns[0][:1], *lists], names=["chunk", "rid", "doc_id", "held_out", "texts"])
-
-    for batch in slices(batches, "text"):
-        held.append(batch)
-        size += batch.column("text").nbytes
-        if size >= CHUNK:
-            yield row()
-            held, size = [], 0
-    if held:
-        yield row()
-
-
-def ngrams(words: Words, texts: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[pa.RecordBatch, Runs]]]:
-    """The distinct tokens and pairs of a run of texts, in order, and the texts' words, a slice at a time."""
-    found, cut = [np.zeros(0, np.uint64)], []
-    for batch in slices(iter([texts]), "text"):
-        runs = words(batch.column("text"))
-        tokens, context, _ = with_ends(runs.hashes, runs.first)
-        found.append(np.unique(np.concatenate([tokens, pair_hash(context, tokens)])))
-        cut.append((batch, runs))
-    return np.unique(np.concatenate(found)), cut
+    """Texts with the run that they belong to."""
+    for chunk, batch in chunks_of(batches):
+        texts = batch.column("text").cast(pa.string())
+        columns = [pa.array(np.full(batch.num_rows, chunk)), *(batch.column(c) for c in ("rid", "doc_id", "held_out")), texts]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "rid", "doc_id", "held_out", "text"])
+
+
+def ngrams(runs: Runs) -> np.ndarray:
+    """The distinct tokens and pairs of texts, in order."""
+    tokens, context, _ = with_ends(runs.hashes, runs.first)
+    return np.unique(np.concatenate([tokens, pair_hash(context, tokens)]))
 
 
 def asker(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The n-grams of each run of texts, packed by the part of the filter that they fall in."""
 
+    def packed(chunk: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        hashes = np.unique(np.concatenate(found))
+        part = part_of(hashes, parts)
+        cut = np.flatnonzero(np.diff(part)) + 1
+        first = np.array([0, *cut])
+        sent = [short(hashes[s:e]) for s, e in zip(first, [*cut, len(hashes)], strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk] * len(first), pa.int64()), pa.array(part[first].astype(np.int32)), pa.array(sent, pa.binary())],
+            names=["chunk", "part", "hashes"],
+        )
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lower=True)
-        for batch in batches:
-            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
-                texts = batch.column("texts").slice(i, 1).flatten()
-                hashes, _ = ngrams(words, pa.RecordBatch.from_arrays([texts], names=["text"]))
-                part = part_of(hashes, parts)
-                cut = np.flatnonzero(np.diff(part)) + 1
-                first = np.array([0, *cut])
-                packed = [short(hashes[s:e]) for s, e in zip(first, [*cut, len(hashes)], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(first), pa.int64()), pa.array(part[first].astype(np.int32)), pa.array(packed, pa.binary())],
-                    names=["chunk", "part", "hashes"],
-                )
+        words, found, now = Words(lower=True), [], 0
+        for chunk, piece in chunks_of(batches):
+            if found and chunk != now:
+                yield packed(now, found)
+                found = []
+            now = chunk
+            found.extend(ngrams(words(batch.column("text"))) for batch in slices(iter([piece]), "text"))
+        if found:
+            yield packed(now, found)
 
     return ask
 
@@ -334,37 +340,51 @@ def answerer(most: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return answer
 
 
-def chunk_scorer(share: Broadcast) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The scores of a run of texts, by the levels that came back for its n-grams."""
-    kept: list[Words] = []  # the tables of a task, made once
-
-    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        if not kept:
-            kept.append(Words(lower=True))
-        shared = Shared(*share.value)
-        names = {"rid": "rid", "doc_id": "doc_id", "held_out": "held_out", "texts": "text"}
-        batch = pa.RecordBatch.from_arrays([chunk.column(c).combine_chunks().flatten() for c in names], names=list(names.values()))
-        hashes, cut = ngrams(kept[0], batch)
-        sent = answers.sort_by("part").column("levels")
-        levels = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in sent])
+def chunk_scorer(share: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The scores of runs of texts, each behind the levels that came back for its n-grams, part after part."""
 
-        def counted(asked: np.ndarray) -> np.ndarray:
-            return estimates(levels[np.searchsorted(hashes, asked)], shared.total)
+    def scores(words: Words, shared: Shared, levels: list[np.ndarray], texts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = [(batch, words(batch.column("text"))) for batch in slices(iter(texts), "text")]
+        hashes = np.unique(np.concatenate([ngrams(runs) for _, runs in cut]))
+        found = np.concatenate([np.zeros(0, np.uint8), *levels])
+        if len(found) != len(hashes):
+            raise RuntimeError(f"{len(hashes)} n-grams of a run of texts, but levels of {len(found)}")
+        for batch, runs in cut:
+            yield scored_texts(batch, runs, shared, lambda asked: estimates(found[np.searchsorted(hashes, asked)], shared.total))
 
-        return pa.Table.from_batches([scored_texts(part, runs, shared, counted) for part, runs in cut])
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, shared = Words(lower=True), Shared(*share.value)
+        now, levels, texts = None, [], []
+        for batch in batches:
+            chunks = batch.column("chunk").to_numpy()
+            cut = np.flatnonzero(np.diff(chunks)) + 1
+            for s, e in zip([0, *cut], [*cut, len(chunks)], strict=True):
+                if s == e:
+                    continue
+                if texts and chunks[s] != now:
+                    yield from scores(words, shared, levels, texts)
+                    levels, texts = [], []
+                now, piece = chunks[s], batch.slice(int(s), int(e - s))
+                is_text = pc.is_valid(piece.column("rid"))
+                levels.extend(np.frombuffer(x.as_buffer(), np.uint8) for x in piece.column("levels").filter(pc.invert(is_text)))
+                rows = piece.filter(is_text)
+                if rows.num_rows:
+                    texts.append(rows)
+        if texts:
+            yield from scores(words, shared, levels, texts)
 
     return score
 
 
 def scored_by_parts(docs: DataFrame, model: DataFrame, shared: Shared, share: Broadcast) -> DataFrame:
-    """The scores by a filter that is too large to be broadcast."""
+    """The scores by a filter that is too large to be broadcast, as a table. The texts are written once, so that both looks at them cut the same runs."""
+    docs = durable(docs, "texts")
     with small_batches(docs.sparkSession):
-        chunks = durable(docs.mapInArrow(chunker, CHUNKED), "chunks")
-    with small_batches(docs.sparkSession, 1):
-        asked = chunks.select("chunk", "texts").mapInArrow(asker(shared.parts), PROBES_SENT)
+        asked = docs.select("rid", "text").mapInArrow(asker(shared.parts), PROBES_SENT)
         answers = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answerer(shared.total.bit_length()), LEVELS)
-        answers = durable(answers, "levels")
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(chunk_scorer(share), SCORED)
+        both = answers.unionByName(docs.mapInArrow(chunker, CHUNKED), allowMissingColumns=True)
+        runs = both.repartition("chunk").sortWithinPartitions("chunk", F.col("rid").asc_nulls_first(), "part")
+        return durable(runs.mapInArrow(chunk_scorer(share), SCORED), "scored")
 
 
 def fit(train: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int = FILTER_BITS) -> tuple[Shared, DataFrame]:
@@ -435,11 +455,13 @@ def lm_scores(docs: DataFrame, head_tokens: int = HEAD_TOKENS, filter_bits: int
     plain = tuple(getattr(shared, f.name) for f in fields(shared))  # so that executors need no class of ours to read it
     share = docs.sparkSession.sparkContext.broadcast(plain)
     rows = docs.withColumn("rid", F.monotonically_increasing_id())
-    scored = rows.mapInArrow(scorer(share), SCORED) if shared.field is not None else scored_by_parts(rows, model, shared, share)
+    broadcast = shared.field is not None
+    scored = rows.mapInArrow(scorer(share), SCORED) if broadcast else scored_by_parts(rows, model, shared, share)
     out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(shared.total).cast("bigint").alias("train_tokens"), "base_score", "score"]
     if shared.whole:
         return scored.select(out)
-    scored = durable(scored, "scored")
+    if broadcast:
+        scored = durable(scored, "scored")
     rare = scored.select("rid", F.explode(F.arrays_zip("rare_tokens", "rare_counts")).alias("r"))
     rare = rare.select("rid", F.col("r.rare_tokens").alias("token"), F.col("r.rare_counts").alias("n")).join(counts, "token", "left")
     c = F.coalesce("c", F.lit(0))

@@ -85,3 +85,27 @@ def test_bigrams_beat_unigrams_on_held_out_text(spark):
     rows = [(i, text) for i in range(40)]
     for r in m.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).where("held_out").collect():
         assert r.score > r.base_score
+
+
+def test_many_runs_of_texts_score_alike(spark, docs, monkeypatch):
+    whole = m.lm_scores(docs).collect()
+    monkeypatch.setattr(m, "CHUNK", 2000)
+    monkeypatch.setattr(m, "PART_TOKENS", 1000)
+    parts = m.lm_scores(docs, filter_bits=1).collect()
+    monkeypatch.setattr(m, "CHUNK", 1 << 30)
+    one = m.lm_scores(docs, filter_bits=1).collect()
+    assert sorted(map(repr, parts)) == sorted(map(repr, one))
+    assert sorted((str(r.doc_id), round(r.base_score, 6), r.n_known) for r in parts) == sorted((str(r.doc_id), round(r.base_score, 6), r.n_known) for r in whole)
+
+
+def test_runs_do_not_depend_on_batches():
+    import pyarrow as pa
+
+    texts = ["x" * (37 * i % 90) for i in range(200)] + [""] * 3 + ["y" * (m.CHUNK + 1), "z"]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["rid", "text"])
+
+    def cut(step):
+        batches = (whole.slice(i, step) for i in range(0, len(texts), step))
+        return [(chunk, rid) for chunk, piece in m.chunks_of(batches) for rid in piece.column("rid").to_pylist()]
+
+    assert cut(1) == cut(7) == cut(1000) and len({c for c, _ in cut(7)}) == 2
