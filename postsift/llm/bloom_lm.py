@@ -88,13 +88,19 @@ def level_positions(hashes: np.ndarray, level: int, bits: int | np.ndarray) -> I
 
 
 def short(hashes: np.ndarray) -> bytes:
-    """The first 48 bits of each hash, which are all that the filter looks at."""
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    """The first 48 bits of sorted hashes, which are all that the filter looks at: a byte with the width, the first, and the steps."""
+    first = hashes >> np.uint64(16)
+    steps = np.diff(first).astype("<u8")
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + first[:1].astype("<u8").tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def long(packed: pa.BinaryScalar) -> np.ndarray:
-    """Hashes out of their first 48 bits; the others are 0."""
-    return np.pad(np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 6), ((0, 0), (2, 0))).view("<u8").ravel()
+    """Hashes out of ``short``; their other bits are 0."""
+    data = np.frombuffer(packed.as_buffer(), np.uint8)
+    width = int(data[0])
+    steps = np.pad(data[9:].reshape(-1, width), ((0, 0), (0, 8 - width))).view("<u8").ravel()
+    return np.cumsum(np.concatenate([data[1:9].copy().view("<u8"), steps]), dtype=np.uint64) << np.uint64(16)
 
 
 def counter(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

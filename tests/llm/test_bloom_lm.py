@@ -109,3 +109,14 @@ def test_runs_do_not_depend_on_batches():
         return [(chunk, rid) for chunk, piece in m.chunks_of(batches) for rid in piece.column("rid").to_pylist()]
 
     assert cut(1) == cut(7) == cut(1000) and len({c for c, _ in cut(7)}) == 2
+
+
+def test_sorted_hashes_come_back_with_48_bits():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    for hashes in (rng.integers(0, 1 << 64, n, np.uint64) for n in (1, 2, 50, 300_000, 1_000_000)):
+        hashes = np.sort(hashes)
+        packed = m.short(hashes)
+        assert (m.long(pa.scalar(packed, pa.binary())) == hashes & ~np.uint64(0xFFFF)).all()
+    assert len(packed) < 4.001 * len(hashes)
