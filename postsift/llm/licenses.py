@@ -55,6 +55,9 @@ NOTICES = [
     ("all rights reserved", "all-rights-reserved", 1),
 ]
 
+# Words of which one edit makes another licence.
+CLAUSES = frozenset([b"nc", b"nd", b"sa"])
+
 SPAN = "struct<label: string, first_word: bigint, last_word: bigint, edits: int, similarity: double>"
 FOUND = f"doc_id bigint, n_words bigint, places array<struct<label: string, word: bigint>>, spans array<{SPAN}>"
 
@@ -112,7 +115,10 @@ def exact_places(text: bytes, phrases: dict[bytes, str]) -> list[tuple[int, str]
 
 
 def fuzzy_spans(text: bytes, notices: list[Notice]) -> list[tuple[int, int, int, float, str]]:
-    """Spans (start, end, edits, similarity, label) of notices. Of overlapping ones the most similar stays, then the longest, then the first."""
+    """Spans (start, end, edits, similarity, label) of notices, whole words each, whose numbers and clauses agree with the notice.
+
+    Of overlapping ones the most similar stays, then the longest, then the first.
+    """
     found = []
     for notice in notices:
         windows: list[list[int]] = []
@@ -126,16 +132,43 @@ def fuzzy_spans(text: bytes, notices: list[Notice]) -> list[tuple[int, int, int,
         for low, high in windows:
             for line_at, line in _lines(text[low:high]):
                 for m in notice.pattern.finditer(line):
-                    edits = sum(m.fuzzy_counts)
-                    found.append((low + line_at + m.start(), low + line_at + m.end(), edits, 1 - edits / len(notice.text), notice.label))
+                    start, end, more = whole_words(text, low + line_at + m.start(), low + line_at + m.end())
+                    edits = sum(m.fuzzy_counts) + more
+                    if edits <= notice.edits and exact_words(text[start:end]) == exact_words(notice.text):
+                        found.append((start, end, edits, 1 - edits / len(notice.text), notice.label))
+    kept: list[tuple[int, int, int, float, str]] = []
+    cluster: list[tuple[int, int, int, float, str]] = []  # spans that overlap, one with the next
+    reach = 0
+    for span in sorted(set(found)):
+        if span[0] >= reach:
+            kept += best_apart(cluster)
+            cluster = []
+        cluster.append(span)
+        reach = max(reach, span[1])
+    return sorted(kept + best_apart(cluster))
+
+
+def best_apart(cluster: list[tuple[int, int, int, float, str]]) -> list[tuple[int, int, int, float, str]]:
     kept: list[tuple[int, int, int, float, str]] = []
-    taken: list[tuple[int, int]] = []
-    for span in sorted(set(found), key=lambda s: (-s[3], s[0] - s[1], s)):
-        at = np.searchsorted([t[0] for t in taken], span[0]) if taken else 0
-        if (at == 0 or taken[at - 1][1] <= span[0]) and (at == len(taken) or taken[at][0] >= span[1]):
-            taken.insert(int(at), (span[0], span[1]))
+    for span in sorted(cluster, key=lambda s: (-s[3], s[0] - s[1], s)):
+        if all(span[1] <= k[0] or k[1] <= span[0] for k in kept):
             kept.append(span)
-    return sorted(kept)
+    return kept
+
+
+def whole_words(text: bytes, start: int, end: int) -> tuple[int, int, int]:
+    """A match from word edge to word edge, and the bytes added for that; more than one at either end is no typing error, but another word."""
+    edge, added = b" \n", [0, 0]
+    while start > 0 and text[start - 1] not in edge and added[0] < 2:
+        start, added[0] = start - 1, added[0] + 1
+    while end < len(text) and text[end] not in edge and added[1] < 2:
+        end, added[1] = end + 1, added[1] + 1
+    return start, end, sum(added) if max(added) < 2 else len(text)
+
+
+def exact_words(text: bytes) -> bytes:
+    """The words of a notice in which no edit is allowed but a lost blank: numbers, and clauses of licences."""
+    return b"".join(w for w in text.split() if w.isdigit() or w in CLAUSES)
 
 
 def _lines(text: bytes) -> Iterator[tuple[int, bytes]]:

@@ -65,3 +65,14 @@ def test_spans_name_words(spark):
     row = n.license_spans(spark.createDataFrame([(1, "Words. Licensed under the Apache Licence, Version 2.0; more")], "doc_id bigint, text string")).first()
     span = row.spans[0]
     assert (span.label, span.first_word, span.last_word, span.edits) == ("apache-2", 1, 8, 1)  # "2.0" is two words
+
+
+def test_other_licences_and_parts_of_words_are_no_notices():
+    for text in ("licensed under cc by nd 4 0", "small rights reserved", "unlicensed under cc by 4 0", "licensed under cc by 4 05", "licensed under cc by 3 0"):
+        assert spans(f"aa {text} bb") == [], text
+    assert [(s[2], s[4]) for s in spans("x xall rights reserved x")] == [(1, "all-rights-reserved")]
+    assert [(s[2], s[4]) for s in spans("licensed under cc by nc 4 0")] == [(0, "cc-by-nc")]
+
+
+def test_many_notices_in_one_text():
+    assert len(spans("all rights reserved " * 5000)) == 5000
