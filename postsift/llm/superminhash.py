@@ -38,7 +38,7 @@ BANDS = 32
 BAND_ROWS = 5  # a pair at similarity 0.8 meets in no band in 3 of a million cases
 CHUNK = 1 << 15  # shingles drawn at a time
 BLOCK = 512  # members of a bucket that are compared with as many others at a time
-SLACK = 8  # shingles by which two sets' intersection on short hashes may be too large
+SLACK = 8  # shingles by which two sets' intersection on short hashes may be too large, besides those that grow with their sizes
 ORDER = np.uint64(0x9FB21C651E98DF25)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
@@ -196,7 +196,8 @@ def comparer(percent: int) -> Callable[[pa.Table], pa.Table]:
             size = hi - lo
             spots = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             shared = np.bincount(owner[spots], minlength=len(right))
-            sure = 100 * (shared - SLACK) >= percent * (n[right] + n[x] - shared + SLACK)
+            slack = SLACK + (2 * n[right] * n[x] >> 32)  # of 32-bit hashes n * m / 2^32 agree by chance
+            sure = 100 * (shared - slack) >= percent * (n[right] + n[x] - shared + slack)
             may = ok & (100 * shared >= percent * (n[right] + n[x] - shared))
             found += [(0 if sure[y] else 1, x, int(right[y])) for y in np.flatnonzero(may).tolist()]
         parent = {c: c for c in set(component.tolist())}
