@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 
@@ -27,6 +28,15 @@ def text(page):
         ("&eacute;&#233;&#xe9;&nbsp;x", "ééé x"),
         ("<div class='ad'>ad<article>in</article>", "in"),
         ("<ul><li>a</li><li>b</li></ul>", "a b"),
+        ("<aside class='related'><article>Teaser</article></aside><article>own</article>", "own"),
+        ("<div class='ad'><article>Advert</article></div><article>own</article>", "own"),
+        ("<article>own<aside><article>Teaser</article></aside> end</article>", "own end"),
+        ("<aside><article>Teaser</article></aside><p>own</p>", "own"),
+        ("<form id=whole><article>own</article></form>", "own"),
+        ("<nav><ul><li>menu<article>own</article></ul></body>", "own"),
+        ("<article>a<section id='notice-of-meeting'>b</section><p class='search-results-explained'>c</p><section id=discussion>d</section></article>", "a b c d"),
+        ("<article>a<h2 id=comments>b</h2><div class='ad-box'>x</div><div id=comments>y</div><div class='related-posts'>z</div></article>", "a b"),
+        ("<p class=notice-of-meeting>a</p><div id=cookie-notice-2>b</div>", "a"),
     ],
 )
 def test_lines(page, expected):
@@ -51,6 +61,18 @@ def test_common_lines_is_a_longest_common_subsequence():
         assert all(x in it for x in (a[i] for i in taken))
 
 
+def test_long_pages_need_little_memory():
+    rng = random.Random(9)
+    a, b = ([rng.randrange(40_000) for _ in range(30_000)] for _ in range(2))
+    tracemalloc.start()
+    taken = h.common_lines(a, b)
+    assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    tracemalloc.stop()
+    it = iter(b)
+    assert taken == sorted(set(taken)) and all(x in it for x in (a[i] for i in taken))
+    assert h.common_lines(a, a) == list(range(len(a)))
+
+
 def page(lines):
     return "<body>" + "".join(f"<div>{x}</div>" for x in lines)
 
@@ -69,6 +91,53 @@ def test_shared_lines_of_neighbours_go(spark):
     assert got[201].text == "same one same two"
 
 
+def brute(rows):
+    """Per host: the pages in order, runs of copies, and lines shared with the nearer page around the run."""
+    out, hosts = {}, {}
+    for number, url, html in rows:
+        host, path = h.address(url)
+        lines = h.page_lines(html or "")
+        made = h.Page(str(number), host, path, [hash(x.text) for x in lines], [0 if x.never else len(x.text) for x in lines], [x.never or not x.main for x in lines])
+        hosts.setdefault(host, []).append((path, number, made, lines))
+    for found in hosts.values():
+        found.sort(key=lambda f: f[:2])
+        linked = [h.copies(a[2], b[2]) for a, b in zip(found, found[1:], strict=False)]
+        for i, (_, number, made, lines) in enumerate(found):
+            low, high = i, i
+            while low and linked[low - 1]:
+                low -= 1
+            while high + 1 < len(found) and linked[high]:
+                high += 1
+            around = found[low - 1][2] if low else None, found[high + 1][2] if high + 1 < len(found) else None
+            gone = h.deleted_lines(made, *around)
+            out[number] = (" ".join(x.text for j, x in enumerate(lines) if not x.never and j not in gone), len(gone))
+    return out
+
+
+@pytest.mark.parametrize("stretch", [12, 60, 1 << 18])
+def test_pairs_as_found_by_brute_force_past_runs_of_copies(spark, stretch):
+    rng = random.Random(7)
+    rows = []
+    for host in range(3):
+        i = 0
+        while i < 90:
+            menu = [f"menu {host} {j}" for j in range(3)]
+            body = [f"text {host} {i} {j} of a page of some length" for j in range(rng.randrange(1, 12))]
+            wrap = "<article>{}</article>" if rng.random() < 0.3 else "{}"
+            for _ in range(rng.choice([1, 1, 1, 2, 5, 30])):  # copies, some with a line of their own
+                own = [f"seen {i}"] if rng.random() < 0.3 else []
+                rows.append((host * 1000 + i, f"http://h{host}.example/{i:04}", f"<nav>all</nav>{page(menu)}{wrap.format(page(body + own))}{page(['foot'])}"))
+                i += 1
+    rows.append((9000, "http://same.example/1", page(["one", "two"])))
+    rows += [(9001 + i, f"http://same.example/{i + 2}", page(["one", "two"])) for i in range(40)]
+    rng.shuffle(rows)
+    got = {r.page_id: (r.text, r.n_deleted) for r in h.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string"), stretch).collect()}
+    expected = brute(rows)
+    assert got == expected
+    assert all("menu" not in text and "foot" not in text for i, (text, _) in got.items() if i < 9000)
+    assert got[9020] == ("one two", 0)
+
+
 def test_passages_within_articles_stay(spark):
     rows = [(i, f"http://h/{i}", f"<nav>n</nav><article><p>shared passage</p><p>own {i} and more of it</p></article>") for i in range(20)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
