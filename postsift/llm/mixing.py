@@ -29,8 +29,8 @@ def size_in_words(text: Column) -> Column:
 
 
 def row_key() -> Column:
-    """A hash of what a row of documents holds."""
-    return F.xxhash64("doc_id", "source", "text").alias("row_key")
+    """128 bits of hash of what a row of documents holds."""
+    return F.concat_ws("-", F.hex(F.xxhash64("doc_id", "source", "text")), F.hex(F.xxhash64("text", F.lit(1), "source", "doc_id"))).alias("row_key")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
