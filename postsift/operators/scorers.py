@@ -9,18 +9,22 @@ from collections.abc import Callable, Iterator, Mapping
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsift.functions.scores import argmax_confidence, log_odds_confidence
 from postsift.functions.tables import SENTIMENT
-from postsift.operators.naive_bayes import BROADCAST_BYTES, BROADCAST_TOKENS, NaiveBayes, log_odds, sum_by_list
+from postsift.operators.naive_bayes import BROADCAST_TOKENS, NaiveBayes, log_odds, sum_by_list
 from postsift.sources.durable import durable
 
 Scorer = Callable[[pd.Series], np.ndarray]
 Lexicon = Mapping[str, float] | DataFrame
 
+# A mapping of more words is scored as a frame of them is.
+LEXICON_WORDS, LEXICON_BYTES = 100_000, 16 * 1024 * 1024
+
 # Executors get the functions of this module with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -91,7 +95,7 @@ def fit_lexicon(df: DataFrame, seeds: Mapping[str, float], tokens: str = "tokens
 
 
 def _small(lexicon: Mapping[str, float]) -> bool:
-    return len(lexicon) <= BROADCAST_TOKENS and sum(len(w.encode()) + 16 for w in lexicon) <= BROADCAST_BYTES
+    return len(lexicon) <= LEXICON_WORDS and sum(len(w.encode()) + 16 for w in lexicon) <= LEXICON_BYTES
 
 
 def lexicon_sentiment(
@@ -101,9 +105,8 @@ def lexicon_sentiment(
     for a text without any.
 
     The lexicon is a mapping, or a frame (token, weight) of any size; weights
-    of a word that is repeated add up. Within the bounds it is broadcast, and
-    words are looked up by hash, a batch at a time; of a larger one, words are
-    joined as those of a large model are.
+    of a word that is repeated add up. A small mapping is broadcast as it is;
+    others are scored as naive Bayes models are.
     """
     if not isinstance(lexicon, DataFrame) and not _small(lexicon):
         lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, weight double")
@@ -115,13 +118,15 @@ def lexicon_sentiment(
         score = F.when(F.col("__known_log_odds") > 0, F.col("__sum_log_odds"))
         return scored.withColumn("sentiment_score", score).drop("__sum_log_odds", "__known_log_odds")
     words = pa.array(list(lexicon), pa.string())
-    weights = np.stack([np.array(list(lexicon.values()), float), np.ones(len(lexicon))])
+    weights = np.zeros((2, len(lexicon) + 1))  # the last one is that of words that are not there
+    weights[:, :-1] = list(lexicon.values()), np.ones(len(lexicon))
     shared = df.sparkSession.sparkContext.broadcast((words, weights))
 
     @F.arrow_udf("array<double>")
     def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, values = shared.value
         for lists in batches:
-            yield sum_by_list(lists, *shared.value)[0]
+            yield sum_by_list(lists, lambda flat: pc.fill_null(pc.index_in(flat, value_set=known), len(known)).to_numpy(zero_copy_only=False), values)[0]
 
     return (
         df.withColumn("__sums", summed(F.col(tokens)))

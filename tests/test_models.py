@@ -3,6 +3,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -258,3 +259,26 @@ def test_evaluation(spark):
     assert [tuple(r) for r in A.confusion(df).orderBy("label").collect()] == [(0, 1, 1), (1, 0, 2)]
     assert [tuple(r) for r in A.confusion(df.where("label = 1")).orderBy("label").collect()] == [(0, 0, 0), (1, 0, 2)]
     assert {r.label: r.n for r in A.class_counts(df).collect()} == {0: 2, 1: 2}
+
+
+def test_joins_of_cold_tokens_do_not_carry_the_texts(train, new):
+    done = NB.score_nb(new, NB.fit_nb(train), per_token=True, broadcast_tokens=2).select("id", "log_odds")
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "tokens#" not in plan.split("Relation")[0] and "data#" not in plan.split("Relation")[0]
+
+
+def test_a_model_of_millions_of_tokens_is_broadcast(spark):
+    wide = spark.range(2_000_000).select(F.concat(F.lit("a-longish-token"), "id").alias("token"), F.lit(1.0).alias("t"), F.lit(1).alias("n"))
+    assert NB._split_by_frequency(wide, 3, NB.BROADCAST_TOKENS)[1] is None
+
+
+def test_long_batches_are_summed_in_slices(monkeypatch):
+    keys = np.array([[5, 9, 7], None, [], [9, 9, 1, 2, 3, 5], [8]], object)
+    lists = pa.array(list(keys), pa.list_(pa.int64()))
+    known, weights = np.array([5, 9]), np.array([[1.0, 10.0, 0.0]])
+    for most in (1, 4, 1000):
+        monkeypatch.setattr(NB, "AT_ONCE", most)
+        sums, rest = NB.sum_by_list(lists, lambda flat: NB.find_keys(flat.to_numpy(), known), weights, lambda flat: flat.to_numpy() != 2)
+        assert sums.to_pylist() == [[11.0], [0.0], [0.0], [21.0], [0.0]]
+        assert rest.to_pylist() == [[7], [], [], [1, 3], [8]]
+        assert all(sum(len(s or ()) for s in some.to_pylist()) <= max(most, 6) for some in NB._some_at_a_time(lists))
