@@ -183,3 +183,28 @@ def test_words_of_scripts_without_blanks(spark):
     got = {r.data: r.tokens for r in df.select("data", T.tokenize("data", normalized=True).alias("tokens")).collect()}
     assert {k: v for k, v in got.items() if k != "don't stop café naïve"} == {k: v for k, v in texts.items() if k != "don't stop café naïve"}
     assert got["don't stop café naïve"] == texts["don't stop café naïve"]
+
+
+def test_pairs_of_random_texts_and_how_they_are_found(spark):
+    """The texts are cut by one pattern, not word by word, and a word may be as long as it likes."""
+    rng = random.Random(3)
+    unspaced, marks = "我𠀀あアーกไ်", "ี့่"  # letters, and marks that go with them
+    other = "abé한\u0301😀.\x01"
+    texts = ["".join(rng.choices(unspaced + marks + other + " \n\u00a0", k=rng.randrange(30))) for _ in range(600)] + ["b" * 60_000 + "我" * 60_000 + "ก" + "่" * 60_000]
+
+    def expected(text):
+        out = []
+        for word in re.split(r"[ \t\n\x0b\f\r]+", text.lower()):
+            for run in re.findall(f"[{unspaced}{marks}]+|[^{unspaced}{marks}]+", word):
+                if run[0] in other or run[0] == "\u00a0":
+                    out.append(run)
+                    continue
+                signs = marks + "်"
+                units = re.findall(f"[^{signs}][{signs}]*|[{signs}]+", run)
+                out += [a + b for a, b in zip(units, units[1:])] if len(units) > 1 else units
+        return [t for t in out if len(t) >= 2]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, data string").select("id", T.tokenize("data", normalized=True).alias("tokens"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    for row in df.collect():
+        assert row.tokens == expected(texts[row.id]), texts[row.id][:40]
