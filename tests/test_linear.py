@@ -3,9 +3,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from postsift.operators import linear as L
+from postsift.operators import naive_bayes as NB
 from postsift.operators.evaluate import loss_history
 from postsift.operators.linear import Linear, LinearConfig, evaluate, fit_linear, fit_linear_tasks, score_linear
 from postsift.sources.models import load_model, save_model
@@ -106,3 +109,22 @@ def test_edge_cases(spark):
         fit_linear(frame(spark, rows), LinearConfig(features=64), start=model)
     one = fit_linear(frame(spark, [(1, 1, ["a"]), (2, 1, ["b"])]), CONFIG)
     assert isinstance(one, Linear) and one.weights[-1] > 0
+
+
+def test_batches_are_taken_in_slices(monkeypatch):
+    """Sums and margins hold temporary arrays of a bounded number of tokens, whatever the batch."""
+    rng = np.random.default_rng(1)
+    lists = [rng.integers(0, 8, n).tolist() for n in (3, 0, 9, 1, 5, 2)]
+    batch = pa.RecordBatch.from_pydict(
+        {"task": pa.array([0, 1, 0, 1, 1, 0], pa.int32()), "label": pa.array([0, 1, 1, 0, 1, 0], pa.int32()), "part": pa.array([4] * 6, pa.int32()), "places": pa.array(lists, pa.list_(pa.int32()))}
+    )
+    seen, values = [], L._values
+    monkeypatch.setattr(L, "_values", lambda some, *more: (seen.append(len(some.flatten())), values(some, *more))[1])
+    whole, sliced = [], []
+    for most, out in ((1000, whole), (4, sliced)):
+        monkeypatch.setattr(NB, "AT_ONCE", most)
+        for made in L.gradients(rng.normal(size=(2, 9)) * 0 + 0.25, np.ones((2, 8)))(iter([batch])):
+            out += [(r["task"], r["block"], r["part"], np.frombuffer(r["sums"])) for r in made.to_pylist()]
+    assert seen[0] == 20 and max(seen[1:]) == 9 and len(seen) > 4
+    for a, b in zip(whole, sliced, strict=True):
+        assert a[:3] == b[:3] and np.allclose(a[3], b[3])

@@ -281,4 +281,4 @@ def test_long_batches_are_summed_in_slices(monkeypatch):
         sums, rest = NB.sum_by_list(lists, lambda flat: NB.find_keys(flat.to_numpy(), known), weights, lambda flat: flat.to_numpy() != 2)
         assert sums.to_pylist() == [[11.0], [0.0], [0.0], [21.0], [0.0]]
         assert rest.to_pylist() == [[7], [], [], [1, 3], [8]]
-        assert all(sum(len(s or ()) for s in some.to_pylist()) <= max(most, 6) for some in NB._some_at_a_time(lists))
+        assert all(sum(len(s or ()) for s in some.to_pylist()) <= max(most, 6) for some in NB.some_at_a_time(lists))
