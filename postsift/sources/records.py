@@ -2,13 +2,15 @@
 
 A quoted field may hold newlines, so where a record starts depends on all that
 stands before it: Spark's own reader takes one task per file. Here the lines
-of a file are read in splits, twice. The first pass tells of each split how it
-ends, and how many records start in it, for both states in which it can begin
-(between records, or inside of a quoted field). These few rows, one for each
-split, are scanned in order: that gives the state in which each split begins,
-and the number of its first record. In the second pass every split knows both,
-and puts its records together; of records that run over a split's end the
-pieces are joined by their number. Records become columns in Spark's parser.
+of a file are read in splits. First, each split tells how it ends, and how many
+records start in it, for both states in which it can begin (between records, or
+inside of a quoted field). For that Spark counts the lines, and only those that
+can change the state, and empty ones, are looked at one by one, each with its
+place among all. These few rows, one for each split, are scanned in order: that
+gives the state in which each split begins, and the number of its first record.
+Then every split knows both, and puts its records together. If any runs over a
+split's end, the pieces are joined by their number, in a shuffle of records.
+Records become columns in Spark's parser.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Mapped = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-SPLIT = "file string, block bigint, opens boolean, n bigint, opens_inside boolean, n_inside bigint"
+SPLIT = "id bigint, opens boolean, n bigint, opens_inside boolean, n_inside bigint, first_at bigint, last_at bigint"
 PIECE = "number bigint, block bigint, rank bigint, head boolean, whole boolean, record string"
 
 # A field that is quoted from its start goes on to the quote that is not doubled;
@@ -48,13 +50,10 @@ def ends_inside(line: str, inside: bool) -> bool:
     return (_FROM_INSIDE if inside else _FROM_START).match(line) is not None
 
 
-def _runs(batch: pa.RecordBatch, *keys: str) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that agree in their keys, one after the other."""
-    change = np.zeros(max(0, batch.num_rows - 1), bool)
-    for key in keys:
-        column = batch.column(key)
-        change |= pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, max(0, batch.num_rows - 1))), True).to_numpy(zero_copy_only=False)
-    cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of one split, one after the other."""
+    ids = batch.column("id").to_numpy()
+    cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), batch.num_rows]
     return ((i, j) for i, j in zip(cuts, cuts[1:], strict=False) if i < j)
 
 
@@ -69,10 +68,10 @@ def _filled(lines: pa.Array) -> np.ndarray:
     return pc.invert(pc.or_(pc.equal(pc.binary_length(lines), 0), pc.equal(lines, "\r"))).to_numpy(zero_copy_only=False)
 
 
-def _states(lines: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
+def _states(lines: pa.Array, turns: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
     """The state in which each line begins, and that after the last one."""
     before = np.full(len(lines), inside)
-    for i in _turns(lines).tolist():
+    for i in turns.tolist():
         state = ends_inside(lines[i].as_py(), inside)
         if state != inside:
             before[i + 1 :] = inside = state
@@ -80,23 +79,26 @@ def _states(lines: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
 
 
 def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each split: does it end inside of a field, and how many records start in it, from either state."""
+    """Of each split: does it end inside of a field, and how many records start in it, from either state. Of the lines,
+    in order, those that hold something and cannot change the state may be left out: ``at`` numbers all of them. The
+    records are those from the first to the last line given, which are told as well."""
     out: list[list] = []
     for batch in batches:
-        for i, j in _runs(batch, "file", "block"):
-            at = [batch.column("file")[i].as_py(), batch.column("block")[i].as_py()]
-            if not out or out[-1][:2] != at:
-                out.append([*at, False, 0, True, 0])
+        for i, j in _runs(batch):
+            own, at = batch.column("id")[i].as_py(), batch.column("at").to_numpy()[i:j]
+            if not out or out[-1][0] != own:
+                out.append([own, False, 0, True, 0, int(at[0]), int(at[0]) - 1])
             lines = batch.column("value").slice(i, j - i)
-            filled = _filled(lines)
-            for k in (2, 4):
-                before, out[-1][k] = _states(lines, out[-1][k])
-                out[-1][k + 1] += int((filled & ~before).sum())
-    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64())
-    columns = list(zip(*out, strict=True)) if out else [[]] * 6
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["file", "block", "opens", "n", "opens_inside", "n_inside"]
-    )
+            filled, turns = _filled(lines), _turns(lines)
+            since = np.diff(at, prepend=out[-1][6])  # this line, and those left out before it, which begin as it does
+            for k in (1, 3):
+                before, out[-1][k] = _states(lines, turns, out[-1][k])
+                out[-1][k + 1] += int((since - ~filled)[~before].sum())
+            out[-1][6] = int(at[-1])
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())
+    columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
+    names = ["id", "opens", "n", "opens_inside", "n_inside", "first_at", "last_at"]
+    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=names)
 
 
 def scan_splits(splits: DataFrame) -> DataFrame:
@@ -116,7 +118,7 @@ def scan_splits(splits: DataFrame) -> DataFrame:
     number = F.coalesce(F.sum(own).over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rank = F.dense_rank().over(Window.orderBy("file")).cast("long")
     open_ = F.when(F.col("inside"), F.col("opens_inside")).otherwise(F.col("opens"))
-    return known.select("file", "block", "inside", number.alias("first"), rank.alias("rank"), open_.alias("open"))
+    return known.select("id", "file", "block", "inside", number.alias("first"), rank.alias("rank"), open_.alias("open"))
 
 
 def _given(number: list | np.ndarray, block: int, rank: int, head: list | np.ndarray, whole: bool, records: pa.Array) -> pa.RecordBatch:
@@ -125,34 +127,35 @@ def _given(number: list | np.ndarray, block: int, rank: int, head: list | np.nda
     return pa.RecordBatch.from_arrays([*columns, pa.array([whole] * n, pa.bool_()), records], names=["number", "block", "rank", "head", "whole", "record"])
 
 
-def assembler(header: bool, pieces: bool) -> Mapped:
-    """Records of the splits of a task: those that lie in one split, or the pieces of all others."""
+def assembler(header: bool, splits: Broadcast) -> Mapped:
+    """Records of the splits of a task, and of those that do not lie in one split the pieces. ``splits`` tells the
+    rank, place, state and first number of each."""
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []  # the split at hand, and the parts of a record that is not complete yet
+        known = splits.value
+        split, at, held = None, None, []  # the split at hand, and the parts of a record that is not complete yet
         inside, carried = False, False
         number, first = 0, 0
 
         def closed(whole: bool) -> Iterator[pa.RecordBatch]:
             """What is held: a record, or its part in this split."""
             whole = whole and not carried
-            if held and whole != pieces:
+            if held:
                 text = "\n".join(held)
                 head = header and at[1] == 0 and not carried and number == first
                 yield _given([number], at[1], at[0], [head], whole, pa.array([text.removesuffix("\r") if whole else text]))
             held.clear()
 
         for batch in batches:
-            for i, j in _runs(batch, "rank", "block"):
-                split = (batch.column("rank")[i].as_py(), batch.column("block")[i].as_py())
-                if split != at:
+            for i, j in _runs(batch):
+                if (own := batch.column("id")[i].as_py()) != split:
                     yield from closed(False)
-                    if split[0] is None:
+                    if own not in known:
                         raise RuntimeError("the files were split in other places when they were looked at first; read them anew")
-                    at, first, inside = split, batch.column("first")[i].as_py(), batch.column("inside")[i].as_py()
+                    split, (*at, inside, first) = own, known[own]
                     carried, number = inside, first - 1  # a record that goes on is the last of those before
                 lines = batch.column("value").slice(i, j - i)
-                before, inside = _states(lines, inside)
+                before, inside = _states(lines, _turns(lines), inside)
                 keep = before | _filled(lines)
                 lines, before = lines.filter(pa.array(keep)), before[keep]
                 starts = np.flatnonzero(~before)
@@ -165,7 +168,7 @@ def assembler(header: bool, pieces: bool) -> Mapped:
                     records = pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
                     carried = False
                     done = len(records) - inside
-                    if done and not pieces:
+                    if done:
                         numbers = number + 1 + np.arange(done)
                         head = (numbers == first) & (header and at[1] == 0)
                         yield _given(numbers, at[1], at[0], head, True, pc.replace_substring_regex(records.slice(0, done), r"\r\z", ""))
@@ -180,20 +183,53 @@ def assembler(header: bool, pieces: bool) -> Mapped:
 
 
 def _numbered(lines: DataFrame, splits: DataFrame, header: bool) -> DataFrame:
-    placed = lines.join(F.broadcast(splits.drop("open")), ["file", "block"], "left")  # one row per split; keeps the order of lines
-    placed = placed.select("rank", "block", "value", "inside", "first")
-    position = F.col("number") - (F.col("rank") if header else 0)
-    out = placed.mapInArrow(assembler(header, False), PIECE).where("not head").select(position.alias("position"), "rank", "record")
-    if splits.where("open").limit(1).count():
-        parts = placed.mapInArrow(assembler(header, True), PIECE).groupBy("number")
-        joined = parts.agg(F.sort_array(F.collect_list(F.struct("block", "record"))).alias("parts"), F.max("rank").alias("rank"), F.max("head").alias("head"))
-        text = F.regexp_replace(F.array_join(F.col("parts.record"), "\n"), r"\r\z", "")
-        out = out.union(joined.where("not head").select(position, "rank", text))
-    return out
+    rows = splits.collect()  # one row per split
+    known = lines.sparkSession.sparkContext.broadcast({r["id"]: (r["rank"], r["block"], r["inside"], r["first"]) for r in rows})
+    position = (F.col("number") - (F.col("rank") if header else 0)).alias("position")
+    records = lines.select("value", "id").mapInArrow(assembler(header, known), PIECE)
+    if any(r["open"] for r in rows):  # some run over a split's end
+        own = [F.max(c).alias(c) for c in ("rank", "head", "whole")]
+        records = records.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("block", "record"))).alias("parts"), *own)
+        joined = F.regexp_replace(F.array_join("parts.record", "\n"), r"\r\z", "")
+        records = records.withColumn("record", F.when(F.col("whole"), F.col("parts")[0]["record"]).otherwise(joined))
+    return records.where("not head").select(position, "rank", "record")
+
+
+def _split_id(path: str, block: str) -> Column:
+    return F.xxhash64(path, block)
 
 
 def _lines(text: DataFrame) -> DataFrame:
-    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    """Lines with the split that they are from, as a hash: to carry the path with every line would cost more than all
+    else. Its parts are only for the count of lines."""
+    path, block = "_metadata.file_path", "_metadata.file_block_start"
+    return text.select("value", _split_id(path, block).alias("id"), F.xxhash64(path).alias("path"), F.col(block).alias("block"))
+
+
+def _survey(lines: DataFrame, path: str | list[str]) -> DataFrame:
+    """What :func:`scan_splits` tells, written once."""
+    numbered = lines.withColumn("at", F.monotonically_increasing_id())
+    counts = numbered.groupBy("path", "block").agg(F.min("at").alias("from"), F.max("at").alias("to"))
+    files = lines.sparkSession.read.format("binaryFile").load(path)  # their contents are not read
+    files = files.select(F.col("_metadata.file_path").alias("file")).distinct().withColumn("path", F.xxhash64("file"))
+    every = counts.join(F.broadcast(files), "path").withColumn("id", _split_id("file", "block"))  # a row per split
+    empty, turns = F.col("value").isin("", "\r"), F.contains(F.replace("value", F.lit('""'), F.lit("")), F.lit('"'))
+    looked = numbered.select("value", "id", "at").where(empty | turns).mapInArrow(survey, SPLIT)
+    told = every.join(looked, "id", "left")
+    other = F.raise_error(F.lit("the files were split anew while they were looked at; read them again")).cast("bigint")
+    start = F.when((F.col("first_at") < F.col("from")) | (F.col("last_at") > F.col("to")), other).otherwise(F.col("first_at") - F.col("from"))
+    rest = F.col("to") - F.col("last_at")
+    none = F.col("first_at").isNull()
+    splits = told.select(
+        "id",
+        "file",
+        "block",
+        F.coalesce("opens", F.lit(False)).alias("opens"),
+        F.when(none, F.col("to") - F.col("from") + 1).otherwise(start + F.col("n") + F.when(F.col("opens"), 0).otherwise(rest)).alias("n"),
+        F.coalesce("opens_inside", F.lit(True)).alias("opens_inside"),
+        F.when(none, 0).otherwise(F.col("n_inside") + F.when(F.col("opens_inside"), 0).otherwise(rest)).alias("n_inside"),
+    )
+    return durable(scan_splits(splits), "splits")
 
 
 def numbered_records(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
@@ -204,7 +240,7 @@ def numbered_records(spark: SparkSession, path: str | list[str], header: bool =
     is used: if the setting for their size changes in between, that raises.
     """
     lines = _lines(spark.read.text(path, lineSep="\n"))
-    return _numbered(lines, durable(scan_splits(lines.mapInArrow(survey, SPLIT)), "splits"), header).drop("rank")
+    return _numbered(lines, _survey(lines, path), header).drop("rank")
 
 
 def read_quoted_csv(
@@ -221,7 +257,7 @@ def read_quoted_csv(
     folders = [f for f in text.schema.fields if f.name != "value"]
     told = {f.name for f in folders}
     lines = _lines(text)
-    splits = durable(scan_splits(lines.mapInArrow(survey, SPLIT)), "splits")
+    splits = _survey(lines, path)
     given = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in (options or {}).items() if k != "header"}
     fields = T.StructType([f for f in schema.fields if f.name not in told])
     records = _numbered(lines, splits, header=True)

@@ -169,3 +169,29 @@ def test_lines_that_cannot_change_the_state_do_not():
         line = "".join(rng.choice(["a", ",", '""', '"']) for _ in range(rng.randint(0, 7)))
         if not len(records._turns(pa.array([line]))):
             assert (ends_inside(line, False), ends_inside(line, True)) == (False, True), line
+
+
+def test_lines_that_cannot_change_the_state_need_not_be_looked_at():
+    lines = [x for t in texts(9, 300) for x in f'"{t.replace(chr(34), chr(34) * 2)}",1'.split("\n")]
+    batch = pa.RecordBatch.from_pydict({"value": lines, "id": [7] * len(lines), "at": list(range(100, 100 + len(lines)))})
+    every = next(records.survey(iter([batch]))).to_pylist()[0]
+    needed = sorted({*records._turns(batch["value"]).tolist(), *(i for i, x in enumerate(lines) if x in ("", "\r"))})
+    assert 0 < needed[0] or len(needed) < len(lines)
+    few = batch.take(pa.array(needed))
+    some = next(records.survey(iter([few.slice(0, 50), few.slice(50)]))).to_pylist()[0]
+    start, rest = some["first_at"] - 100, 99 + len(lines) - some["last_at"]
+    assert (some["opens"], some["opens_inside"]) == (every["opens"], every["opens_inside"])
+    assert start + some["n"] + (not some["opens"]) * rest == every["n"]
+    assert some["n_inside"] + (not some["opens_inside"]) * rest == every["n_inside"]
+
+
+def test_splits_of_blank_or_plain_lines_only(spark, tmp_path, small_splits):
+    path = tmp_path / "i.csv"
+    blank, plain = "\n" * 10000, "a plain line\n" * 1000
+    rows = [(f"x{blank}y", 0), ("z", 1), (f"{plain}\r", 2), *[(f"v{i}", i) for i in range(1000)], (f'"{plain}{blank}', 3)]
+    write(path, rows)
+    raw = path.read_text(newline="")
+    path.write_bytes(raw.replace("\nz,1\n", f"\n{blank}z,1\n{blank}").encode())
+    got = sorted(read_quoted_csv(spark, str(path), SCHEMA, IO.CSV_OPTIONS, "position").collect())
+    assert [(r.data, r.label) for r in got] == rows
+    assert [r.position for r in got] == list(range(len(rows)))
