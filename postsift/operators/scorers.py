@@ -94,8 +94,8 @@ def fit_lexicon(df: DataFrame, seeds: Mapping[str, float], tokens: str = "tokens
     return counts.where("token is not null").where(n >= least).select("token", weight.alias("weight"), n.alias("n"))
 
 
-def _small(lexicon: Mapping[str, float]) -> bool:
-    return len(lexicon) <= LEXICON_WORDS and sum(len(w.encode()) + 16 for w in lexicon) <= LEXICON_BYTES
+def few_words(lexicon: Lexicon) -> bool:
+    return not isinstance(lexicon, DataFrame) and len(lexicon) <= LEXICON_WORDS and sum(len(w.encode()) + 16 for w in lexicon) <= LEXICON_BYTES
 
 
 def lexicon_sentiment(
@@ -108,7 +108,7 @@ def lexicon_sentiment(
     of a word that is repeated add up. A small mapping is broadcast as it is;
     others are scored as naive Bayes models are.
     """
-    if not isinstance(lexicon, DataFrame) and not _small(lexicon):
+    if not isinstance(lexicon, DataFrame) and not few_words(lexicon):
         lexicon = df.sparkSession.createDataFrame(list(lexicon.items()), "token string, weight double")
     if isinstance(lexicon, DataFrame):
         n = F.max("n") if "n" in lexicon.columns else F.count(F.lit(1))
@@ -142,16 +142,18 @@ def score_sentiment(
     base: str = "probability",
     load: Callable[[], Scorer] | None = None,
     col: str = "data",
+    summed: str | None = None,
 ) -> DataFrame:
     """Add ``sentiment_prediction``, 1 for negative and 0 for positive, and
     ``sentiment_probability``.
 
     The lexicon decides by default; ``load`` brings another model, with the
     scores of (positive, negative). A text that cannot be scored counts as 1
-    with the probability of the base model.
+    with the probability of the base model. ``summed`` names a column that
+    holds the lexicon's sums already; it is dropped.
     """
     if load is None:
-        scored = lexicon_sentiment(df, lexicon, tokens)
+        scored = lexicon_sentiment(df, lexicon, tokens) if summed is None else df.withColumn("sentiment_score", F.col(summed)).drop(summed)
         score = F.col("sentiment_score")
         sign, confidence = (score < 0).cast("int"), log_odds_confidence(score)
         columns, extra = (sign, confidence), ["sentiment_score"]

@@ -10,9 +10,9 @@ from postsift.functions.tables import SENTIMENT
 from postsift.operators.fusion import fuse, selfharm_ensemble
 from postsift.operators.linear import Linear, score_linear
 from postsift.operators.logreg import LogReg, score_logreg
-from postsift.operators.naive_bayes import NaiveBayes, score_nb, score_nb_tasks
+from postsift.operators.naive_bayes import WORD_SUM, NaiveBayes, score_nb, score_nb_tasks
 from postsift.operators.rows import normalize_rows, rename_result, with_tokens
-from postsift.operators.scorers import Lexicon, score_arrow, score_sentiment
+from postsift.operators.scorers import Lexicon, few_words, score_arrow, score_sentiment
 
 Model = NaiveBayes | LogReg | Linear | Callable
 
@@ -30,8 +30,8 @@ def score(df: DataFrame, model: Model) -> DataFrame:
     raise ValueError(f"cannot score with a {type(model).__name__}")
 
 
-def _selfharm(df: DataFrame, lexicon: Lexicon, load: Callable | None) -> DataFrame:
-    return selfharm_ensemble(score_sentiment(df, lexicon, load=load))
+def _selfharm(df: DataFrame, lexicon: Lexicon, load: Callable | None, summed: str | None = None) -> DataFrame:
+    return selfharm_ensemble(score_sentiment(df, lexicon, load=load, summed=summed))
 
 
 def score_task(
@@ -65,7 +65,7 @@ def moderate(
     """Posts to verdicts: all three tasks, the ensemble and the fusion.
 
     The text is normalised and split into tokens once. All naive Bayes models
-    are summed in one pass. With models of bounded size every step is a
+    are summed in one pass, and a small lexicon with them. With models of bounded size every step is a
     projection, so the posts are read, scored and written without a shuffle.
     """
     missing = {"spam", "hatespeech", "selfharm"} - set(models)
@@ -74,11 +74,12 @@ def moderate(
     rows = normalize_rows(df) if normalize else df
     rows = with_tokens(rows.drop("prediction", "probability"), normalized=True)
     counted = {task: m for task, m in models.items() if isinstance(m, NaiveBayes)}
+    words = lexicon if counted and sentiment is None and few_words(lexicon) else None
     if counted:
-        rows = score_nb_tasks(rows, counted).drop(*[f"{t}_log_odds" for t in counted])
+        rows = score_nb_tasks(rows, counted, words=words).drop(*[f"{t}_log_odds" for t in counted])
     for task in ("spam", "hatespeech", "selfharm"):
         if task not in counted:
             rows = rename_result(score(rows, models[task]), task)
     base = {"selfharm_pred": "prediction", "selfharm_prob": "probability"}
-    rows = _selfharm(rows.withColumnsRenamed(base), lexicon, sentiment)
+    rows = _selfharm(rows.withColumnsRenamed(base), lexicon, sentiment, None if words is None else WORD_SUM)
     return fuse(rows, spam_min_prob, floor).drop("tokens")

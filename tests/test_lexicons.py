@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from postsift.operators.linear import Linear, LinearConfig
-from postsift.operators.naive_bayes import NaiveBayes, fit_nb, fit_nb_chunks, known_tokens
+from postsift.operators.naive_bayes import NaiveBayes, fit_nb, fit_nb_chunks, known_tokens, log_odds
 from postsift.operators.scorers import fit_lexicon, lexicon_sentiment
+from postsift.plans.moderate import moderate
 from postsift.plans.train import fit_all_tasks
 
 
@@ -70,3 +71,29 @@ def test_naive_bayes_with_held_out_losses(spark):
     model = fit_nb_chunks(df, chunks=3)
     assert isinstance(model, NaiveBayes) and len(model.losses) == 3 and all(0 < v < math.log(2) for v in model.losses)
     assert sorted(map(tuple, model.weights.collect())) == sorted(map(tuple, fit_nb(df).weights.collect()))
+
+
+def test_a_small_lexicon_is_summed_with_the_models(spark):
+    rows = [("good day sun", 1), ("bad rain", 0), ("good good bad word", 1), ("nothing here", 0), (None, 0), ("rare thing bad", 1)]
+    df = spark.createDataFrame(rows, "data string, label int").withColumn("tokens", F.split("data", " "))
+    model, words = fit_nb(df), {"good": 1, "bad": -0.5, "rare": 0.25, "unseen": 3.0}
+
+    def results(scored, column):
+        return {r["data"]: (r["a_log_odds"] and round(r["a_log_odds"], 9), r[column]) for r in scored.collect()}
+
+    expected = results(lexicon_sentiment(log_odds(df, {"a": model}), words), "sentiment_score")
+    assert expected["rare thing bad"][1] == -0.25 and expected["nothing here"][1] is expected[None][1] is None
+    for most in (1000, 2, 0):  # all tokens broadcast, a few, none
+        assert results(log_odds(df, {"a": model}, broadcast_tokens=most, words=words), "__word_sum") == expected
+    none = log_odds(df, {"a": model}, words={}).collect()
+    assert [r["__word_sum"] for r in none] == [None] * len(rows)
+
+
+def test_moderation_with_counted_models_takes_one_pass_through_python(spark):
+    rows = [("good day sun", 1), ("bad rain", 0), ("good good bad word", 1), ("nothing here", 0)] * 3
+    df = spark.createDataFrame(rows, "data string, label int")
+    model = fit_nb(df.withColumn("tokens", F.split("data", " ")))
+    done = moderate(df.select("data"), dict.fromkeys(("spam", "hatespeech", "selfharm"), model), {"good": 1.0, "bad": -1.0})
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and done.count() == len(rows)
+    assert not {"__word_sum", "sentiment_score"} & set(done.columns)
